@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as decontamination
+from . import substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,8 +23,15 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.summary(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op9_decontamination": op9_decontamination}
+    return {
+        "op5_substring_dedup": op5_substring_dedup,
+        "op9_decontamination": op9_decontamination,
+    }
 
 
 def oracle_sql() -> dict[str, str]:

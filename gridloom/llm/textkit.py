@@ -114,8 +114,10 @@ class Words:
             self.start = self.end = np.zeros(0, dtype=np.int64)
             self.first = np.zeros(rows + 1, dtype=np.int64)
             self.hash = np.zeros(0, dtype=U64)
+            self.inside, self.offsets = np.zeros(0, dtype=bool), offsets
             return
         inside = kind.take(raw)
+        self.inside, self.offsets = inside, offsets
         first = inside.copy()
         first[1:] &= ~inside[:-1]
         last = inside.copy()
@@ -172,6 +174,19 @@ class Words:
         """Row of each word index."""
         return np.searchsorted(self.first, at, side="right") - 1
 
+    def joined(self) -> tuple[bytes, list[int]]:
+        """All rows' words joined by one space each, as one buffer, and the borders of the rows in it."""
+        rows = len(self.first) - 1
+        if not len(self.start):
+            return b"", [0] * (rows + 1)
+        inner = np.ones(len(self.start), dtype=bool)
+        inner[self.first[1:][self.first[1:] > self.first[:-1]] - 1] = False
+        keep = self.inside.copy()
+        keep[self.end[inner]] = True
+        value = np.where(self.inside, self.raw, np.uint8(0x20))[keep]
+        size = np.concatenate([[0], np.cumsum(keep)])
+        return value.tobytes(), size[self.offsets].tolist()
+
     def text(self, low: int, high: int, lower: bool = False) -> bytes:
         """Words low..high-1 joined by one space."""
         raw = self.raw.tobytes() if high - low > 10_000 else None

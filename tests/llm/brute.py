@@ -35,3 +35,22 @@ def decontaminate(documents, benchmark, length=10):
                     hit.update(range(i, i + size))
         out.append((doc_id, len(words), len(hit), len(names), sha(",".join(sorted(names))), bool(hit)))
     return out
+
+
+def substring(documents, window=50):
+    words = [(i, SPACED.findall(t or "")) for i, t in documents]
+    first = {}
+    for i, ws in words:
+        if i is None:
+            continue
+        for k in range(len(ws) - window + 1):
+            key = tuple(ws[k : k + window])
+            first[key] = min(first.get(key, i), i)
+    out = []
+    for i, ws in words:
+        gone = set()
+        for k in range(len(ws) - window + 1 if i is not None else 0):
+            if first[tuple(ws[k : k + window])] < i:
+                gone.update(range(k, k + window))
+        out.append((i, len(ws), len(gone), sha(" ".join(w for k, w in enumerate(ws) if k not in gone))))
+    return out
