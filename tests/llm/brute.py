@@ -54,3 +54,38 @@ def substring(documents, window=50):
                 gone.update(range(k, k + window))
         out.append((i, len(ws), len(gone), sha(" ".join(w for k, w in enumerate(ws) if k not in gone))))
     return out
+
+
+def shingle_set(text, size=5):
+    words = SPACED.findall(lower(text))
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1)))
+
+
+def jaccard(documents, size=5, low=75, high=100):
+    sets = [(i, shingle_set(t, size)) for i, t in documents]
+    root = {i: i for i, _ in sets if i is not None}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    holders = {}
+    for k, (i, s) in enumerate(sets):
+        if i is not None:
+            for x in s:
+                holders.setdefault(x, []).append(k)
+    seen = set()
+    for held in holders.values():
+        for a in held:
+            for b in held:
+                if a < b and (a, b) not in seen:
+                    seen.add((a, b))
+                    (i, s), (j, t) = sets[a], sets[b]
+                    both = len(s & t)
+                    if high * both >= low * (len(s) + len(t) - both):
+                        x, y = sorted((find(i), find(j)))
+                        root[y] = x
+    return [(i, len(s), None if i is None else find(i)) for i, s in sets]
