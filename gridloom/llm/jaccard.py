@@ -260,7 +260,7 @@ class _Join:
             raise RuntimeError("different sets share a key under every seed")
         self.seed, self.frequent = seed, self.spark.sparkContext.broadcast(_frequent(scan))
         total = self.classes.agg(F.sum("n")).first()[0] or 0
-        tasks = meeting.tasks_for(documents, total * (share[1] - share[0]) // share[1])
+        tasks = meeting.tasks_for(total * (share[1] - share[0]) // share[1])
         sent = self.rows.mapInArrow(_send(size, share, seed, meeting.bits_for(tasks), self.frequent), _SENT)
         self.postings = self.scratch.table(sent.repartition(tasks, "bucket").mapInArrow(_meet, _POSTINGS), "postings")
 

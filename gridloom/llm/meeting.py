@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from . import textkit as tk
 
 #: Entries that a task of the exchange holds, about.
-ENTRIES_A_TASK = 1_000_000
+ENTRIES_A_TASK = 250_000
 REPEATED, FIRST_HERE = 1, 2
 
 _SENT = "bucket long, block long, hash binary, least binary, many binary"
@@ -43,12 +43,12 @@ def buckets_of(hashes: np.ndarray, bits: int) -> tuple[list[int], np.ndarray]:
     return bucket[border].tolist(), np.append(border, len(bucket))
 
 
-def tasks_for(frame: DataFrame, entries: int) -> int:
-    return max(int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(entries / ENTRIES_A_TASK))
+def tasks_for(entries: int) -> int:
+    return max(8, math.ceil(entries / ENTRIES_A_TASK))
 
 
 def bits_for(tasks: int) -> int:
-    return max(1, math.ceil(math.log2(4 * tasks)))
+    return max(1, math.ceil(math.log2(2 * tasks)))
 
 
 def repeated(state: DataFrame, tasks: int) -> DataFrame:

@@ -47,6 +47,10 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, rows)
 
 
+#: Rows may be hundreds of kilobytes: pages and row groups are measured at every row, not every hundred.
+_LARGE_ROWS = {"parquet.block.size": 16 << 20, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 16, "parquet.block.size.row.check.min": 1, "parquet.block.size.row.check.max": 16}
+
+
 class Scratch:
     """Written tables of one run of an operator."""
 
@@ -58,7 +62,7 @@ class Scratch:
     def table(self, frame: DataFrame, name: str) -> DataFrame:
         """Write the rows once and return a reader of the written table."""
         path = f"{self.home}/{name}"
-        frame.write.parquet(path)
+        frame.write.options(**_LARGE_ROWS).parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
     def drop(self, name: str) -> None:

@@ -35,7 +35,8 @@ _FIELDS = [("kind", pa.int32()), ("doc_id", pa.int64()), ("th", pa.int64()), ("n
 _ARROW = pa.schema(_FIELDS)
 _SPARK = "kind int, doc_id long, th long, n_words long, level int, value binary, block long, docs binary, ths binary, owner binary, pos binary, hash binary"
 DOCUMENT, BLOCK, WINDOWS = 0, 1, 2
-STATE_BYTES = 1 << 21
+#: Entries of a state row.
+STATE = 1 << 14
 
 
 def _batch(**columns) -> pa.RecordBatch:
@@ -116,7 +117,7 @@ def _scan(window: int):
                     seen[digests[row]] = int(doc[low + row])
                     mine = np.unique(halves[border[row] : border[row + 1]])
                     state.add(int(doc[low + row]), int(th[low + row]), np.zeros(len(mine), dtype=np.int32), mine)
-                yield from state.out(STATE_BYTES // 16)
+                yield from state.out(STATE)
         yield from state.out()
 
     return run
@@ -186,7 +187,7 @@ def _full_windows(window: int):
                     held = np.isin(halves[part], known)
                     if held.any():
                         state.add(int(doc[low + row]), int(th[low + row]), full[part][held] - words.first[row], hashes[part][held])
-                yield from state.out(STATE_BYTES // 16)
+                yield from state.out(STATE)
         yield from state.out()
 
     return run
@@ -194,7 +195,7 @@ def _full_windows(window: int):
 
 def _level(scratch: Scratch, state: DataFrame, entries: int, level: int, window: int) -> DataFrame:
     """One level: written rows of documents that hold repeated windows, and the blocks of the next level."""
-    tasks = meeting.tasks_for(state, entries)
+    tasks = meeting.tasks_for(entries)
     back = meeting.repeated(state, tasks)
     met = state.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_match(meeting.bits_for(tasks), level, window), _SPARK)
     return scratch.table(met, f"level{level}")
