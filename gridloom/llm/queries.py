@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as decontamination
-from . import jaccard, substring
+from . import jaccard, line_rules, secrets, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,15 +27,25 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(_table(spark, sf_dir, "documents")))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.summary(_table(spark, sf_dir, "documents"))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.judge(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_secret_scan": op4_secret_scan,
         "op5_substring_dedup": op5_substring_dedup,
         "op8_jaccard_join": op8_jaccard_join,
         "op9_decontamination": op9_decontamination,
+        "op10_quality_rules": op10_quality_rules,
     }
 
 

@@ -89,3 +89,62 @@ def jaccard(documents, size=5, low=75, high=100):
                         x, y = sorted((find(i), find(j)))
                         root[y] = x
     return [(i, len(s), None if i is None else find(i)) for i, s in sets]
+
+
+def quality(documents):
+    out = []
+    for i, text in documents:
+        text = text or ""
+        ws = SPACED.findall(text)
+        lines = [x for x in text.split("\n") if SPACED.search(x)]
+        seen, places = {}, set()
+        for k in range(len(ws) - 2):
+            seen.setdefault(tuple(ws[k : k + 3]), []).append(k)
+        for held in seen.values():
+            if len(held) > 1:
+                places.update(p + d for p in held for d in range(3))
+        bad = len(ws) < 50 or 100 * len(places) > 50 * len(ws)
+        out.append((i, len(ws), sum(map(len, ws)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(places), bad))
+    return out
+
+
+ASSIGN = re.compile(r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def base_secrets(text):
+    text = text or ""
+    spans = [(m.start(), 0, m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[1]) >= 6]
+    spans += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    spans += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(spans)
+
+
+def secrets(documents):
+    out = []
+    for i, text in documents:
+        spans = base_secrets(text)
+        out.append((i, *(sum(s[1] == k for s in spans) for k in range(3)), sha(",".join(f"{k}:{a}:{b}" for a, _, b, k in spans))))
+    return out
+
+
+def entropy_spans(text, classes, allowed, window=20):
+    import math
+
+    text, known, out = text or "", [(a, b) for a, _, b, _ in base_secrets(text)], []
+    for kind, alphabet, bits in classes:
+        fresh = []
+        for m in re.finditer(f"[{re.escape(alphabet)}]{{{window},}}", text):
+            run = m[0]
+            if not (re.search("[0-9]", run) and re.search("[A-Za-z]", run)) or any(re.search(r, run) for r in allowed):
+                continue
+            if any(a < m.end() and m.start() < b for a, b in known):
+                continue
+            peak = 0
+            for k in range(len(run) - window + 1):
+                part = run[k : k + window]
+                peak = max(peak, -sum(part.count(c) / window * math.log2(part.count(c) / window) for c in set(part)))
+            if round(peak, 9) >= bits:
+                fresh.append((m.start(), m.end()))
+                out.append((m.start(), kind, m.end()))
+        known += fresh
+    return out
