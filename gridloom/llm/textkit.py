@@ -199,6 +199,18 @@ class Words:
         return found.lower() if lower else found
 
 
+def count_words(raw: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Number of words of each row, without their hashes."""
+    if not len(raw):
+        return np.zeros(len(offsets) - 1, dtype=np.int64)
+    inside = kind.take(raw)
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    heads = offsets[:-1][offsets[:-1] < len(raw)]
+    first[heads] = inside[heads]
+    return np.diff(np.searchsorted(np.flatnonzero(first), offsets))
+
+
 def join_grams(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Hash of a window made of two adjacent windows of equal length."""
     return mix(left * U64(0xA0761D6478BD642F) + mix(right + _STEP))
