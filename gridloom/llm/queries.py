@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as decontamination
-from . import jaccard, language, line_rules, packing, secrets, substring, toxicity
+from . import chat, jaccard, language, line_rules, packing, secrets, substring, toxicity, weak_quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_table(spark, sf_dir, "documents"))
 
 
+def op7_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_quality.score(_table(spark, sf_dir, "documents"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link(_table(spark, sf_dir, "documents")).drop("th")
 
@@ -35,6 +39,13 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transcripts written from the conversations' roles, parsed without them; the roles teach the model only."""
+    raw = chat.transcripts(_table(spark, sf_dir, "conversations"))
+    found = chat.parse(raw.drop("role"), raw)
+    return found.select("conv_id", F.col("position").alias("turn"), "n_lines", F.array_join("line_roles", ",").alias("line_roles"), F.size("turns").alias("n_turns"), F.sha2("rendered", 256).alias("rendered_sha256"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -54,10 +65,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
+        "op2_chat_format": op2_chat_format,
         "op3_toxicity": op3_toxicity,
         "op4_secret_scan": op4_secret_scan,
         "op5_substring_dedup": op5_substring_dedup,
         "op6_language_id": op6_language_id,
+        "op7_weak_quality": op7_weak_quality,
         "op8_jaccard_join": op8_jaccard_join,
         "op9_decontamination": op9_decontamination,
         "op10_quality_rules": op10_quality_rules,
