@@ -10,10 +10,12 @@ Scale
     * One class of equal sets acts as one document, so copies cost one entry a task.
     * Prefix shingles travel packed, by hash range; those of a single class end there. Shingles known to be
       very frequent are spread by document instead, so no task holds such a list.
+    * Every set has a bitmap of its hashes (after Sandes, Teodoro and Melo, 2020). Bits that one of a pair has
+      alone bound the overlap from above, and only pairs that pass this bound have their texts fetched.
     * Every class is first linked with the most central class that it meets (a star). The full candidate
       search then leaves out pairs that are connected already: a large group of near copies costs its size,
       not its square, and no link between different components is lost.
-    * Estimated frequencies come from all documents: shingles found twice or more in a run of 2**20 of one
+    * Estimated frequencies come from all documents: shingles found twice or more in a run of 2**22 of one
       task. They only order the prefixes, so the table is bounded (``HEAVY`` entries) without touching results.
 
 Defined cases
@@ -41,11 +43,11 @@ from .texts import chosen, keyed
 HEAVY = 1 << 18
 SPREAD = 20_000
 MOST_MATCHES = 8
-RUN = 1 << 20
+RUN = 1 << 22
 #: Cost of comparing one shingle of a candidate, with reading one entry of a list as 1.
 COMPARE = 0.25
 
-_STATS = "kind int, doc_id long, th long, n long, key long, guard binary, hashes binary, counts binary"
+_STATS = "kind int, doc_id long, th long, n long, key long, guard binary, bits binary, hashes binary, counts binary"
 
 
 def shingles(words: tk.Words, size: int) -> tuple[np.ndarray, list[int]]:
@@ -80,24 +82,42 @@ def _key(values: np.ndarray, seed: int) -> tuple[int, bytes]:
     return int.from_bytes(digest[:8], "little", signed=True), digest[8:]
 
 
+def bitmap(values: np.ndarray) -> bytes:
+    """At least four bits a hash, a power of two of them; a hash sets the bit of its low end."""
+    size = 1 << max(6, int(4 * len(values) - 1).bit_length())
+    held = np.zeros(size, dtype=bool)
+    held[(values & np.uint64(size - 1)).astype(np.int64)] = True
+    return np.packbits(held).tobytes()
+
+
+def most_shared(n: int, a: bytes, m: int, b: bytes) -> int:
+    """An upper bound of the overlap of two sets of n and m hashes with these bitmaps."""
+    a, b = np.frombuffer(a, dtype=np.uint64), np.frombuffer(b, dtype=np.uint64)
+    if len(a) != len(b):
+        size = min(len(a), len(b))
+        a, b = (np.bitwise_or.reduce(x.reshape(-1, size), axis=0) for x in (a, b))
+    return min(n - int(np.bitwise_count(a & ~b).sum()), m - int(np.bitwise_count(b & ~a).sum()))
+
+
 def _stats(size: int, seed: int):
-    schema = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("th", pa.int64()), ("n", pa.int64()), ("key", pa.int64()), ("guard", pa.binary()), ("hashes", pa.binary()), ("counts", pa.binary())])
+    schema = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("th", pa.int64()), ("n", pa.int64()), ("key", pa.int64()), ("guard", pa.binary()), ("bits", pa.binary()), ("hashes", pa.binary()), ("counts", pa.binary())])
 
     def often(run: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         values, counts = np.unique(np.concatenate(run), return_counts=True)
         held = counts > 1
         if held.any():
-            yield pa.RecordBatch.from_arrays([pa.array([1], pa.int32()), *(pa.nulls(1, f.type) for f in list(schema)[1:6]), pa.array([values[held].tobytes()], pa.binary()), pa.array([counts[held].astype(np.int64).tobytes()], pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array([1], pa.int32()), *(pa.nulls(1, f.type) for f in list(schema)[1:7]), pa.array([values[held].tobytes()], pa.binary()), pa.array([counts[held].astype(np.int64).tobytes()], pa.binary())], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pending, waiting, here = [], 0, set()
         for batch in batches:
-            n, key, guard = [], [], []
+            n, key, guard, bits = [], [], [], []
             for _, values in _rows(batch, size):
                 n.append(len(values))
                 mine, rest = _key(values, seed) if len(values) else (None, None)
                 key.append(mine)
                 guard.append(rest)
+                bits.append(bitmap(values))
                 if len(values) and mine not in here:
                     here.add(mine)
                     pending.append(values)
@@ -106,7 +126,7 @@ def _stats(size: int, seed: int):
                         yield from often(pending)
                         pending, waiting, here = [], 0, set()
             rows = len(n)
-            yield pa.RecordBatch.from_arrays([pa.array([0] * rows, pa.int32()), batch.column("doc_id"), batch.column("th"), pa.array(n, pa.int64()), pa.array(key, pa.int64()), pa.array(guard, pa.binary()), pa.nulls(rows, pa.binary()), pa.nulls(rows, pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array([0] * rows, pa.int32()), batch.column("doc_id"), batch.column("th"), pa.array(n, pa.int64()), pa.array(key, pa.int64()), pa.array(guard, pa.binary()), pa.array(bits, pa.binary()), pa.nulls(rows, pa.binary()), pa.nulls(rows, pa.binary())], schema=schema)
         if pending:
             yield from often(pending)
 
@@ -228,6 +248,18 @@ def _sets(size: int):
     return run
 
 
+def _possible(share: tuple[int, int]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = []
+            for n, left, m, right in zip(batch.column("n").to_pylist(), batch.column("left").to_pylist(), batch.column("m").to_pylist(), batch.column("right").to_pylist(), strict=True):
+                both = most_shared(n, left, m, right)
+                held.append(share[1] * both >= share[0] * (n + m - both))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(held, pa.bool_()))
+
+    return run
+
+
 def _verify(share: tuple[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -251,7 +283,7 @@ class _Join:
         self.rows = keyed(documents, id_col, text_col)
         for seed in range(8):  # a further seed only if two different sets got one 64-bit key
             scan = self.scratch.table(self.rows.mapInArrow(_stats(size, seed), _STATS), f"scan{seed}")
-            self.stats = scan.where("kind = 0").select("doc_id", "th", "n", "key", "guard")
+            self.stats = scan.where("kind = 0").select("doc_id", "th", "n", "key", "guard", "bits")
             of_key = self.stats.where("key is not null").groupBy("key").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "th"))).alias("first"), F.max("n").alias("n"), (F.min("guard") != F.max("guard")).alias("mixed"))
             self.classes = self.scratch.table(of_key.select("key", "first.doc_id", "first.th", "n", "mixed"), f"classes{seed}")
             if not self.classes.where("mixed").limit(1).count():
@@ -270,7 +302,9 @@ class _Join:
 
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
         """Those pairs (a, b) of classes whose sets link."""
-        pairs = self.scratch.table(pairs, f"{name}-pairs")
+        maps = self.stats.where("key is not null").join(self.classes.select("key", "doc_id", "th"), ["key", "doc_id", "th"], "left_semi").dropDuplicates(["key"])
+        sides = pairs.join(maps.select(F.col("key").alias("a"), "n", F.col("bits").alias("left")), "a").join(maps.select(F.col("key").alias("b"), F.col("n").alias("m"), F.col("bits").alias("right")), "b")
+        pairs = self.scratch.table(sides.select("a", "b", "n", "left", "m", "right").mapInArrow(_possible(self.share), "a long, b long"), f"{name}-pairs")
         nodes = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
         firsts = self.classes.join(nodes, "key", "left_semi").select("key", "doc_id", "th")
         sets = chosen(self.rows, firsts).dropDuplicates(["key"]).select("key", "text").mapInArrow(_sets(self.size), "key long, shingles binary")

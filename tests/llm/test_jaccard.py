@@ -57,6 +57,14 @@ def test_prefix_lemma():
         assert len(np.intersect1d(pa, pb)) >= min(ma, mb)
 
 
+def test_bitmaps_bound_the_overlap():
+    rnd = np.random.default_rng(2)
+    for _ in range(200):
+        universe = rnd.integers(0, 2**63, 400).astype(np.uint64)
+        a, b = (np.unique(rnd.choice(universe, rnd.integers(1, 300))) for _ in range(2))
+        assert j.most_shared(len(a), j.bitmap(a), len(b), j.bitmap(b)) >= len(np.intersect1d(a, b))
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(50, 60), (60, 55), (70, 70)], "a long, b long")
     found = {r.node: r.root for r in connect(links).collect()}
