@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import merge_queries, qc_queries  # noqa: F401
+from . import merge_queries, network_queries, qc_queries, stat_queries  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
