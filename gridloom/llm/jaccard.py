@@ -40,7 +40,7 @@ from .components import connect
 from .scratch import Scratch, small_batches
 from .texts import chosen, keyed
 
-HEAVY = 1 << 18
+HEAVY = 1 << 20
 SPREAD = 20_000
 MOST_MATCHES = 8
 RUN = 1 << 22
@@ -176,7 +176,7 @@ def prefix(values: np.ndarray, df: np.ndarray, share: tuple[int, int]) -> tuple[
 
 
 _SENT = "bucket long, hashes binary, keys binary, meta binary"
-_POSTINGS = "h long, key long, n int, m int"
+_POSTINGS = "h long, key long, n int, m int, place int"
 
 
 def _send(size: int, share: tuple[int, int], seed: int, bits: int, frequent):
@@ -207,7 +207,7 @@ def _send(size: int, share: tuple[int, int], seed: int, bits: int, frequent):
                 chosen_, often, matches = prefix(values, df, share)
                 wide = often >= SPREAD
                 where = np.where(wide, tk.mix(chosen_ ^ np.uint64(key & (2**64 - 1))), chosen_) >> np.uint64(64 - bits)
-                held.append((where.astype(np.int64), chosen_, np.full(len(chosen_), key, dtype=np.int64), wide.astype(np.int64) << 40 | len(values) << 8 | matches))
+                held.append((where.astype(np.int64), chosen_, np.full(len(chosen_), key, dtype=np.int64), wide.astype(np.int64) << 62 | np.arange(len(chosen_), dtype=np.int64) << 34 | len(values) << 6 | matches))
                 waiting += len(chosen_)
                 if waiting >= RUN:
                     yield from out(held)
@@ -233,10 +233,10 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     fresh = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (keys[1:] != keys[:-1])])
     hashes, keys, meta = hashes[fresh], keys[fresh], meta[fresh]
     same = hashes[1:] == hashes[:-1]
-    keep = np.flatnonzero(np.concatenate([same, [False]]) | np.concatenate([[False], same]) | (meta >> 40 > 0))
+    keep = np.flatnonzero(np.concatenate([same, [False]]) | np.concatenate([[False], same]) | (meta >> 62 > 0))
     for at in range(0, len(keep), 1 << 16):
         part = keep[at : at + (1 << 16)]
-        yield pa.RecordBatch.from_arrays([pa.array(hashes[part]), pa.array(keys[part]), pa.array((meta[part] >> 8 & 0xFFFFFFFF).astype(np.int32)), pa.array((meta[part] & 0xFF).astype(np.int32))], names=["h", "key", "n", "m"])
+        yield pa.RecordBatch.from_arrays([pa.array(hashes[part]), pa.array(keys[part]), pa.array((meta[part] >> 6 & 0xFFFFFFF).astype(np.int32)), pa.array((meta[part] & 0x3F).astype(np.int32)), pa.array((meta[part] >> 34 & 0xFFFFFFF).astype(np.int32))], names=["h", "key", "n", "m", "place"])
 
 
 def _sets(size: int):
@@ -297,8 +297,14 @@ class _Join:
         self.postings = self.scratch.table(sent.repartition(tasks, "bucket").mapInArrow(_meet, _POSTINGS), "postings")
 
     def _fits(self, a: str, b: str) -> str:
+        """Sizes that can link, and shingles early enough for it: two sets that link share at least
+        ``ceil(low * (n + m) / (low + high))`` shingles, so the first k that they share stand among the first
+        ``n - that + k`` of either."""
         low, high = self.share
-        return f"least({a}, {b}) * {high}L >= greatest({a}, {b}) * {low}L"
+        least = f"cast(ceil({low}L * ({a}n + {b}n) / {low + high}.0D - 1e-9) as int)"
+        k = f"least({a}m, {b}m)"
+        sizes = f"least({a}n, {b}n) * {high}L >= greatest({a}n, {b}n) * {low}L"
+        return f"{sizes} and {a}place < {a}n - {least} + {k} and {b}place < {b}n - {least} + {k}"
 
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
         """Those pairs (a, b) of classes whose sets link."""
@@ -318,8 +324,8 @@ class _Join:
         """Each class with the most central of the classes it shares a prefix shingle with, the one it shares most with."""
         shared = self.postings.groupBy("key").agg(F.count("*").alias("met"), F.first("n").alias("n"))
         centre = shared.select("key", (F.col("met") / F.col("n")).alias("central"))
-        best = self.postings.join(centre, "key").groupBy("h").agg(F.max(F.struct("central", "key", "n")).alias("best"))
-        met = self.postings.join(best, "h").where(f"key != best.key and {self._fits('n', 'best.n')}")
+        best = self.postings.join(centre, "key").groupBy("h").agg(F.max(F.struct("central", "key", "n", "m", "place")).alias("best"))
+        met = self.postings.join(best, "h").where(f"key != best.key and {self._fits('', 'best.')}")
         each = met.groupBy("key", F.col("best.key").alias("centre"), F.col("best.central").alias("central")).count()
         return each.groupBy("key").agg(F.max(F.struct("count", "central", "centre")).alias("best")).select(F.col("key").alias("a"), F.col("best.centre").alias("b"))
 
@@ -329,9 +335,9 @@ class _Join:
         parts = placed.groupBy("h", "root").count().groupBy("h").agg(F.count("*").alias("parts"), F.max(F.struct("count", "root")).alias("main")).where("parts > 1").select("h", F.col("main.root").alias("main"))
         placed = self.scratch.table(placed.join(parts, "h"), "placed")
         # one side of a pair is outside the list's main component, so pairs inside that are never formed
-        left = placed.where("root != main").select("h", F.col("key").alias("x"), F.col("root").alias("x_root"), F.col("n").alias("x_n"), F.col("m").alias("x_m"))
-        right = placed.select("h", F.col("key").alias("y"), F.col("root").alias("y_root"), F.col("n").alias("y_n"), F.col("m").alias("y_m"), "main")
-        met = left.join(right, "h").where(f"x_root != y_root and (y_root = main or x < y) and {self._fits('x_n', 'y_n')}")
+        left = placed.where("root != main").select("h", F.col("key").alias("x"), F.col("root").alias("x_root"), *(F.col(c).alias(f"x_{c}") for c in ("n", "m", "place")))
+        right = placed.select("h", F.col("key").alias("y"), F.col("root").alias("y_root"), *(F.col(c).alias(f"y_{c}") for c in ("n", "m", "place")), "main")
+        met = left.join(right, "h").where(f"x_root != y_root and (y_root = main or x < y) and {self._fits('x_', 'y_')}")
         ends = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.least("x_m", "y_m").alias("m"))
         return ends.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("m").alias("m")).where("shared >= m").select("a", "b")
 
