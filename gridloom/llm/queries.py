@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate as decontamination
 from . import chat, jaccard, language, line_rules, packing, secrets, substring, toxicity, weak_quality
+from . import decontaminate as decontamination
+from .oracle import TEXTS
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,7 +56,7 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring.summary(_table(spark, sf_dir, "documents"))
+    return substring.summary(_table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,4 +79,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(TEXTS)
