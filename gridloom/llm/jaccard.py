@@ -296,13 +296,13 @@ class _Join:
         sent = self.rows.mapInArrow(_send(size, share, seed, meeting.bits_for(tasks), self.frequent), _SENT)
         self.postings = self.scratch.table(sent.repartition(tasks, "bucket").mapInArrow(_meet, _POSTINGS), "postings")
 
-    def _fits(self, a: str, b: str) -> str:
+    def _fits(self, a: str, b: str, k: str | None = None) -> str:
         """Sizes that can link, and shingles early enough for it: two sets that link share at least
         ``ceil(low * (n + m) / (low + high))`` shingles, so the first k that they share stand among the first
-        ``n - that + k`` of either."""
+        ``n - that + k`` of either; k is the lesser number of matches asked for, or the one given."""
         low, high = self.share
         least = f"cast(ceil({low}L * ({a}n + {b}n) / {low + high}.0D - 1e-9) as int)"
-        k = f"least({a}m, {b}m)"
+        k = k or f"least({a}m, {b}m)"
         sizes = f"least({a}n, {b}n) * {high}L >= greatest({a}n, {b}n) * {low}L"
         return f"{sizes} and {a}place < {a}n - {least} + {k} and {b}place < {b}n - {least} + {k}"
 
@@ -337,9 +337,13 @@ class _Join:
         # one side of a pair is outside the list's main component, so pairs inside that are never formed
         left = placed.where("root != main").select("h", F.col("key").alias("x"), F.col("root").alias("x_root"), *(F.col(c).alias(f"x_{c}") for c in ("n", "m", "place")))
         right = placed.select("h", F.col("key").alias("y"), F.col("root").alias("y_root"), *(F.col(c).alias(f"y_{c}") for c in ("n", "m", "place")), "main")
-        met = left.join(right, "h").where(f"x_root != y_root and (y_root = main or x < y) and {self._fits('x_', 'y_')}")
-        ends = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.least("x_m", "y_m").alias("m"))
-        return ends.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("m").alias("m")).where("shared >= m").select("a", "b")
+        # the first shingle that a pair shares stands in either's prefix for one match, where the rare ones are ...
+        met = left.join(right, "h").where(f"x_root != y_root and (y_root = main or x < y) and {self._fits('x_', 'y_', '1')}")
+        pairs = met.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.first(F.least("x_m", "y_m")).alias("m"))
+        # ... and the whole prefixes must share as many as the match asks for
+        held = self.postings.groupBy("key").agg(F.collect_list("h").alias("hs"))  # no longer than a document
+        sides = pairs.join(held.toDF("a", "left"), "a").join(held.toDF("b", "right"), "b")
+        return sides.where("size(array_intersect(left, right)) >= m").select("a", "b")
 
     def links(self) -> DataFrame:
         """Links that connect all components of classes (a spanning part of all links)."""
