@@ -8,6 +8,9 @@ sums its ends up as max-plus matrices of 6 x 6, the driver joins these - two a r
 fixes the states at the cuts, and then every range is decoded by itself. So a transcript that holds a third
 of all rows is spread over a third of the tasks.
 
+A piece is a turn only where the caller says so (``turns``); else the model leaves out the feature that a line is
+its piece's first, so pieces may be whole texts or lines, and where they are cut changes nothing.
+
 Rendering gives each piece its text with a header where a turn begins and an end mark where one ends; the
 pieces of a transcript, in order, make up its canonical form.
 
@@ -26,7 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scratch import Scratch, small_batches
@@ -89,8 +92,9 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(flat[at])], names=["slot", "n"])
 
 
-def train(rows: DataFrame) -> Model:
-    """Counts, with a prior, over rows (conv_id, position, text, role) of transcripts whose roles are known."""
+def train(rows: DataFrame, turns: bool = True) -> Model:
+    """Counts, with a prior, over rows (conv_id, position, text, role), a turn each, of transcripts whose roles are
+    known; ``turns``: the pieces to parse are turns too, and a piece's first line shows it."""
     known = _known(rows)
     counts = known.select("text", "role").mapInArrow(_counts, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()  # a fixed number of slots
     flat = np.zeros(len(SIZES) * STATES * max(SIZES) + STATES * STATES)
@@ -108,7 +112,7 @@ def train(rows: DataFrame) -> Model:
     for r in ends.join(before, ["conv_id", "position"], "left_anti").groupBy("role").count().collect():
         first[ROLES.index(r["role"])] += r["count"]
     shown = []
-    for f, size in enumerate(SIZES):
+    for f, size in enumerate(SIZES if turns else SIZES[:-1]):
         table = total[f][:, :size] + 0.5
         if f == 0:  # a marker names its role, and none but a turn's first line has one
             table[0::2, : len(ROLES)] += 2 * np.eye(len(ROLES))
@@ -271,12 +275,13 @@ def _pieces(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(conv, pa.int64()), pa.array(position, pa.int64()), pa.array(n, pa.int32()), pa.array(roles, pa.list_(pa.string())), pa.array(begun, pa.list_(pa.string())), pa.array(text, pa.string())], names=["conv_id", "position", "n_lines", "line_roles", "turns", "rendered"])
 
 
-def parse(pieces: DataFrame, known: DataFrame, *, ranges: int | None = None) -> DataFrame:
+def parse(pieces: DataFrame, known: DataFrame, *, ranges: int | None = None, turns: bool = True) -> DataFrame:
     """Per piece of ``pieces`` (conv_id, position, text): n_lines, line_roles, turns (roles of the turns that
-    begin in it) and rendered. ``known`` (conv_id, position, text, role) teaches the model."""
+    begin in it) and rendered. ``known`` (conv_id, position, text, role) teaches the model, a turn a row;
+    without ``turns`` the pieces' borders say nothing of the turns."""
     spark = pieces.sparkSession
     small_batches(spark)
-    model = spark.sparkContext.broadcast(train(known))
+    model = spark.sparkContext.broadcast(train(known, turns))
     ranges = ranges or max(int(spark.conf.get("spark.sql.shuffle.partitions")), pieces.rdd.getNumPartitions())
     rows = pieces.select(F.col("conv_id").cast("long"), F.col("position").cast("long"), F.col("text").cast("string"))
     order = ["conv_id", "position", "text"]
@@ -301,3 +306,33 @@ def transcripts(conversations: DataFrame, unmarked_percent: int = 25) -> DataFra
     text = F.coalesce("text", F.lit(""))
     mark = F.when(marked & (role > 0), F.get(F.get(marks, style.cast("int")), (role - 1).cast("int"))).otherwise(F.lit(""))
     return conversations.select("conv_id", F.col("turn").alias("position"), F.concat(F.coalesce(mark, F.lit("")), text).alias("text"), "role")
+
+
+#: Turns are numbered in blocks of so many, so that no task has all turns of a long conversation.
+BLOCK = 1024
+
+
+def placed(raw: DataFrame) -> DataFrame:
+    """``raw`` (conv_id, position, text, ...) with ``line``, the number in its transcript of a row's first line."""
+    same = lambda *c: Window.partitionBy(*c)
+    rows = raw.withColumn("_n", F.size(F.split("text", "\n"))).withColumn("_block", F.floor(F.col("position") / BLOCK))
+    before = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = rows.groupBy("conv_id", "_block").agg(F.sum("_n").alias("_n"))
+    blocks = blocks.select(F.col("conv_id").alias("_id"), F.col("_block").alias("_at"), before(same("conv_id").orderBy(F.asc_nulls_first("_block"))).alias("_first"))
+    inside = rows.withColumn("_line", before(same("conv_id", "_block").orderBy(F.asc_nulls_first("position"), "text")))
+    met = inside.join(blocks, F.col("conv_id").eqNullSafe(F.col("_id")) & F.col("_block").eqNullSafe(F.col("_at")))
+    return met.select(*raw.columns, (F.col("_first") + F.col("_line")).alias("line"))
+
+
+def lines(rows: DataFrame) -> DataFrame:
+    """The transcripts of ``placed`` rows as lines (conv_id, position, text), without the turns' borders."""
+    cut = rows.select("conv_id", "line", F.posexplode(F.split("text", "\n")).alias("_k", "text"))
+    return cut.select("conv_id", (F.col("line") + F.col("_k")).alias("position"), "text")
+
+
+def by_turn(parsed: DataFrame, rows: DataFrame) -> DataFrame:
+    """What was found in the lines of each of the ``placed`` rows: n_lines, line_roles, turns, rendered."""
+    of = rows.select(F.col("conv_id").alias("_id"), F.col("position").alias("turn"), "line", F.explode(F.sequence("line", F.col("line") + F.size(F.split("text", "\n")) - 1)).alias("_at"))
+    met = parsed.join(of, F.col("conv_id").eqNullSafe(F.col("_id")) & (F.col("position") == F.col("_at")))
+    all_ = met.groupBy("conv_id", "line", "turn").agg(F.sort_array(F.collect_list(F.struct("position", "line_roles", "turns", "rendered"))).alias("_l"))
+    return all_.select("conv_id", F.col("turn").alias("position"), F.size("_l").alias("n_lines"), F.flatten("_l.line_roles").alias("line_roles"), F.flatten("_l.turns").alias("turns"), F.array_join("_l.rendered", "").alias("rendered"))

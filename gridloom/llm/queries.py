@@ -41,9 +41,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transcripts written from the conversations' roles, parsed without them; the roles teach the model only."""
+    """Transcripts written from the conversations' roles, parsed as running lines without roles or borders of turns;
+    the roles teach the model only. What was found is given by the turns that were written."""
     raw = chat.transcripts(_table(spark, sf_dir, "conversations"))
-    found = chat.parse(raw.drop("role"), raw)
+    rows = chat.placed(raw)
+    found = chat.by_turn(chat.parse(chat.lines(rows), raw, turns=False), rows)
     return found.select("conv_id", F.col("position").alias("turn"), "n_lines", F.array_join("line_roles", ",").alias("line_roles"), F.size("turns").alias("n_turns"), F.sha2("rendered", 256).alias("rendered_sha256"))
 
 

@@ -57,6 +57,42 @@ def test_roles_are_recovered(spark):
     assert q.op2_chat_format(spark, MID).count() == len(truth)
 
 
+@pytest.mark.parametrize("unmarked, least_lines, least_starts", [(0, 0.99, 0.99), (25, 0.93, 0.85)])
+def test_turns_are_found_in_whole_texts(spark, unmarked, least_lines, least_starts):
+    raw = c.transcripts(spark.read.parquet(f"{MID}/conversations.parquet"), unmarked)
+    said = {}
+    for r in sorted(raw.collect(), key=lambda r: (r.conv_id, r.position)):
+        said.setdefault(r.conv_id, []).append((r.role, r.text.split("\n")))
+    texts = spark.createDataFrame([(i, 0, "\n".join("\n".join(x) for _, x in turns)) for i, turns in said.items()], "conv_id long, position long, text string")
+    hits, starts, false_starts = [], [], []
+    for r in c.parse(texts, raw, turns=False).collect():
+        truth = [(role, k == 0) for role, x in said[r.conv_id] for k in range(len(x))]
+        hits += [a == b for a, (b, _) in zip(r.line_roles, truth, strict=True)]
+    rows = c.placed(raw)
+    found = c.by_turn(c.parse(c.lines(rows), raw, turns=False), rows).collect()
+    lines = {(r.conv_id, r.position): r for r in found}
+    for i, turns in said.items():
+        for k, (_, x) in enumerate(turns):
+            r = lines[i, k]
+            begins = r.rendered.startswith("<|system|>") or r.rendered.startswith(("<|user|>", "<|assistant|>", c.END + "<|"))
+            starts.append(begins)
+            false_starts.append(len(r.turns) - begins)
+            assert r.n_lines == len(x)
+    assert np.mean(hits) > least_lines and np.mean(starts) > least_starts and sum(false_starts) < 0.1 * len(starts)
+
+
+def test_lines_are_numbered_through(spark, monkeypatch):
+    monkeypatch.setattr(c, "BLOCK", 3)
+    rows = [(i, k, "\n".join("x" * (1 + (k or 0) % 3))) for i in (1, None) for k in (None, *range(10))] + [(1, 4, "y")]
+    placed = c.placed(spark.createDataFrame([(*r, "user") for r in rows], "conv_id long, position long, text string, role string"))
+    for i in (1, None):
+        mine = sorted((r for r in placed.collect() if r.conv_id == i), key=lambda r: (r.position is not None, r.position or 0, r.text))
+        sizes = [len(r.text.split("\n")) for r in mine]
+        assert [r.line for r in mine] == [sum(sizes[:k]) for k in range(len(sizes))]
+        got = sorted(r.position for r in c.lines(placed).collect() if r.conv_id == i)
+        assert got == list(range(sum(sizes)))
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], "conv_id long, position long, text string, role string")
     assert c.parse(none.drop("role"), none).count() == 0
