@@ -14,7 +14,8 @@ Scale
       alone bound the overlap from above, and only pairs that pass this bound have their texts fetched.
     * Every class is first linked with the most central class that it meets (a star). The full candidate
       search then leaves out pairs that are connected already: a large group of near copies costs its size,
-      not its square, and no link between different components is lost.
+      not its square, and no link between different components is lost. ``link_pairs`` and ``link_counts`` do
+      form every pair: their cost is that of all links.
     * Estimated frequencies come from all documents: shingles found twice or more in a run of 2**22 of one
       task. They only order the prefixes, so the table is bounded (``HEAVY`` entries) without touching results.
 
@@ -345,6 +346,19 @@ class _Join:
         sides = pairs.join(held.toDF("a", "left"), "a").join(held.toDF("b", "right"), "b")
         return sides.where("size(array_intersect(left, right)) >= m").select("a", "b")
 
+    def met(self) -> DataFrame:
+        """All candidate pairs of classes, connected or not."""
+        left, right = (self.postings.select("h", F.col("key").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in ("n", "m", "place"))) for x in "xy")
+        met = left.join(right, "h").where(f"x < y and {self._fits('x_', 'y_', '1')}")
+        pairs = met.groupBy(F.col("x").alias("a"), F.col("y").alias("b")).agg(F.first(F.least("x_m", "y_m")).alias("m"))
+        held = self.postings.groupBy("key").agg(F.collect_list("h").alias("hs"))  # no longer than a document
+        sides = pairs.join(held.toDF("a", "left"), "a").join(held.toDF("b", "right"), "b")
+        return sides.where("size(array_intersect(left, right)) >= m").select("a", "b")
+
+    def all_links(self) -> DataFrame:
+        """Every link (a, b) of different classes, a < b."""
+        return self.verified(self.met(), "all")
+
     def links(self) -> DataFrame:
         """Links that connect all components of classes (a spanning part of all links)."""
         star = self.verified(self.stars(), "star")
@@ -367,6 +381,37 @@ def link(documents: DataFrame, *, size: int = 5, share: tuple[int, int] = (75, 1
     return met.select("doc_id", "th", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", alone, "doc_id")).alias("component_id"))
 
 
+def _copies(join: _Join) -> DataFrame:
+    """(key, copies): the different documents (id and text) of every class."""
+    held = join.stats.where("key is not null and doc_id is not null")
+    return held.select("key", "doc_id", "th").distinct().groupBy("key").agg(F.count("*").alias("copies"))
+
+
+def link_pairs(documents: DataFrame, *, size: int = 5, share: tuple[int, int] = (75, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every verified link between classes of different texts, once, by the least documents of the two classes:
+    doc_a, th_a, doc_b, th_b, and the documents of either class, copies_a and copies_b."""
+    join = _Join(documents, size, share, id_col, text_col)
+    of = join.classes.select("key", "doc_id", "th").join(_copies(join), "key")
+    sides = (of.select(F.col("key").alias(x), F.col("doc_id").alias(f"doc_{x}"), F.col("th").alias(f"th_{x}"), F.col("copies").alias(f"copies_{x}")) for x in "ab")
+    met = join.all_links()
+    for x, side in zip("ab", sides, strict=True):
+        met = met.join(side, x)
+    return met.drop("a", "b")
+
+
+def link_counts(documents: DataFrame, *, size: int = 5, share: tuple[int, int] = (75, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per document: doc_id, th, n_shingles, n_copies (other documents of its class) and n_links, all other
+    documents it links with, copies among them. A document is an id and a text; a null id has null counts."""
+    join = _Join(documents, size, share, id_col, text_col)
+    copies, links = _copies(join), join.all_links()
+    ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = ends.join(copies.toDF("b", "copies"), "b").groupBy(F.col("a").alias("key")).agg(F.sum("copies").alias("near"))
+    of = copies.join(near, "key", "left").select("key", (F.col("copies") - 1).alias("same"), F.coalesce("near", F.lit(0)).alias("near"))
+    met = join.stats.select("doc_id", "th", "n", "key").join(of, "key", "left")
+    counted = lambda c: F.when(F.col("doc_id").isNotNull(), F.coalesce(c, F.lit(0)).cast("long"))
+    return met.select("doc_id", "th", F.col("n").alias("n_shingles"), counted(F.col("same")).alias("n_copies"), counted(F.col("same") + F.col("near")).alias("n_links"))
+
+
 def keep_one(documents: DataFrame, *, size: int = 5, share: tuple[int, int] = (75, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents with all their columns, one of each component: that of the least id. Rows without an id or
     without words stay; of rows that repeat the id and text of a kept one, one stays."""

@@ -28,6 +28,10 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link(_table(spark, sf_dir, "documents")).drop("th")
 
 
+def op8_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_counts(_table(spark, sf_dir, "documents")).drop("th")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.scan(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -75,6 +79,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_language_id": op6_language_id,
         "op7_weak_quality": op7_weak_quality,
         "op8_jaccard_join": op8_jaccard_join,
+        "op8_jaccard_links": op8_jaccard_links,
         "op9_decontamination": op9_decontamination,
         "op10_quality_rules": op10_quality_rules,
     }

@@ -42,6 +42,21 @@ def test_small_cases(spark, monkeypatch, spread):
     assert sorted(str(r.doc_id) for r in kept.collect() if r.doc_id != 6) == sorted(str(i) for i, n, c in expected if (i == c or not n or i is None) and i != 6)
 
 
+def test_every_link_is_found(spark):
+    docs = made()
+    sets = sorted({(i, t, brute.shingle_set(t)) for i, t in docs if i is not None and brute.shingle_set(t)}, key=lambda d: d[:2])
+    linked = lambda a, b: 100 * len(a & b) >= 75 * len(a | b)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    counts = {(r.doc_id, r.n_shingles): (r.n_copies, r.n_links) for r in j.link_counts(frame).where("n_shingles > 0 and doc_id is not null").collect()}
+    assert counts == {(i, len(x)): (sum(x == y for k, t2, y in sets if (k, t2) != (i, t)), sum(linked(x, y) for k, t2, y in sets if (k, t2) != (i, t))) for i, t, x in sets}
+    classes = {}
+    for i, _, x in sets:
+        classes.setdefault(x, []).append(i)
+    pairs = {tuple(sorted((min(a), min(b)))) for x, a in classes.items() for y, b in classes.items() if x != y and linked(x, y)}
+    found = j.link_pairs(frame).collect()
+    assert {tuple(sorted((r.doc_a, r.doc_b))) for r in found} == pairs and len(found) == len(pairs) > 25
+
+
 def test_prefix_lemma():
     rnd = np.random.default_rng(1)
     for _ in range(300):
