@@ -235,27 +235,49 @@ def nearest(points: DataFrame, queries: DataFrame, k: int, key: str = "cell_id",
     return found.withColumn("place", F.row_number().over(order).cast("long")).where(F.col("place") <= k)
 
 
-def silhouette(points: DataFrame, sample: DataFrame, label: str, key: str = "cell_id", vec: str = "vec") -> DataFrame:
-    """Silhouette of the sampled cells against all cells: the sample is broadcast, each block of cells adds its
-    sums of distances by label, and the sums meet in one aggregation of sample x labels rows."""
-    asked = sample.select(key, label, vec).toPandas()
-    ids, labels = asked[key].to_numpy(), asked[label].to_numpy()
-    wanted = np.stack(asked[vec].to_numpy()).astype(np.float64)
+def _blocks(cells: DataFrame, label: str, key: str, vec: str, rows: int) -> DataFrame:
+    """Cells packed as matrices of about ``rows`` rows: block, ids, labels, vecs."""
+    parts = max(1, -(-cells.count() // rows))
+
+    def pack(part: pd.DataFrame) -> pd.DataFrame:
+        held = (part[key].to_numpy(np.int64), part[label].to_numpy(np.int64), np.stack(part[vec].to_numpy()).astype(np.float64))
+        return pd.DataFrame([[part["block"].iloc[0], *(x.tobytes() for x in held)]], columns=["block", "ids", "labels", "vecs"])
+
+    dealt = cells.select(key, label, vec, F.pmod(F.xxhash64(key), F.lit(parts)).alias("block"))
+    return dealt.groupBy("block").applyInPandas(pack, "block long, ids binary, labels binary, vecs binary")
+
+
+def silhouette(points: DataFrame, sample: DataFrame, label: str, key: str = "cell_id", vec: str = "vec", *, rows: int = 512) -> DataFrame:
+    """Silhouette of the sampled cells, or all, against all cells: blocks of cells meet blocks of cells, each pair
+    gives its sums of distances by label, and the sums meet in one aggregation. A cell alone in its label has 0.
+    The cost is cells x cells; nothing is collected."""
+    spark, small = points.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(small)) <= 64:  # a row holds two matrices
+        spark.conf.set(small, 64)
 
     def sums(batches):
         for part in batches:
-            if not len(part):
-                continue
-            mine = np.stack(part[vec].to_numpy()).astype(np.float64)
-            for name, rows in part.groupby(label).indices.items():
-                d = np.array([np.sqrt(((mine[rows] - w) ** 2).sum(axis=1)).sum() for w in wanted])
-                yield pd.DataFrame({"cell_id": ids, "own": labels, "other": name, "s": d, "n": len(rows)})
-
-    part = points.select(key, label, vec).mapInPandas(sums, "cell_id long, own long, other long, s double, n long").groupBy("cell_id", "own", "other").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+            for r in part.itertuples(index=False):
+                ids, own, names = (np.frombuffer(x, dtype=np.int64) for x in (r.ids, r.labels, r.names))
+                wanted, others = np.frombuffer(r.vecs).reshape(len(ids), -1), np.frombuffer(r.others).reshape(len(names), -1)
+                values, code, n = np.unique(names, return_inverse=True, return_counts=True)
+                s = np.array([np.bincount(code, weights=np.sqrt(((others - w) ** 2).sum(axis=1)), minlength=len(values)) for w in wanted])
+                yield pd.DataFrame({"cell_id": np.repeat(ids, len(values)), "own": np.repeat(own, len(values)), "other": np.tile(values, len(ids)), "s": s.ravel(), "n": np.tile(n, len(ids))})
+
+    asked = _blocks(sample, label, key, vec, rows).drop("block")
+    every = _blocks(points, label, key, vec, rows).select(F.col("labels").alias("names"), F.col("vecs").alias("others"))
+    part = asked.crossJoin(every).mapInPandas(sums, "cell_id long, own long, other long, s double, n long").groupBy("cell_id", "own", "other").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
     inner = F.max(F.when(F.col("own") == F.col("other"), F.when(F.col("n") > 1, F.col("s") / (F.col("n") - 1)).otherwise(F.lit(None))))
     outer = F.min(F.when(F.col("own") != F.col("other"), F.col("s") / F.col("n")))
     met = part.groupBy("cell_id", F.col("own").alias(label)).agg(inner.alias("a"), outer.alias("b"))
-    return met.select("cell_id", label, F.when(F.col("a").isNull(), F.lit(0.0)).otherwise((F.col("b") - F.col("a")) / F.greatest("a", "b")).alias("silhouette"))
+    most = F.greatest("a", "b")
+    return met.select("cell_id", label, F.when(F.col("a").isNull() | (most == 0), F.lit(0.0)).otherwise((F.col("b") - F.col("a")) / most).alias("silhouette"))
+
+
+def silhouette_summary(scored: DataFrame) -> DataFrame:
+    """Cells, and mean, median, p10 and p90 of their silhouettes."""
+    at = lambda p: F.percentile("silhouette", F.lit(p))
+    return scored.agg(F.count("silhouette").alias("n"), F.avg("silhouette").alias("mean"), at(0.5).alias("median"), at(0.1).alias("p10"), at(0.9).alias("p90"))
 
 
 def call_cells(totals: DataFrame, by: str = "sample_id", factor: float = 1.2) -> DataFrame:

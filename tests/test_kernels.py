@@ -85,3 +85,23 @@ def test_silhouette_and_neighbours(spark):
     near = kernels.nearest(frame, frame.limit(5), 4).collect()
     for q in {r.query for r in near}:
         assert [r.neighbour for r in sorted((r for r in near if r.query == q), key=lambda r: r.place)] == sorted(range(40), key=lambda j: (d[q, j], j))[:4]
+
+
+def test_every_cell_has_a_silhouette(spark, data):
+    from gridloom.plans.queries import QUERIES
+
+    rng = np.random.default_rng(4)
+    points, labels = np.round(rng.normal(size=(70, 3)), 1), np.append(rng.integers(0, 3, 69), 9)  # the last alone
+    d = np.sqrt(((points[:, None] - points) ** 2).sum(axis=2))
+    expected = []
+    for i in range(70):
+        a = d[i, labels == labels[i]].sum() / max(1, (labels == labels[i]).sum() - 1)
+        b = min(d[i, labels == k].mean() for k in set(labels) - {labels[i]})
+        expected.append(0.0 if i == 69 else (b - a) / max(a, b))
+    frame = spark.createDataFrame([(i, int(labels[i]), points[i].tolist()) for i in range(70)], "cell_id long, label long, vec array<double>")
+    scored = kernels.silhouette(frame, frame, "label", rows=16)
+    found = {r.cell_id: r.silhouette for r in scored.collect()}
+    assert sorted(found) == list(range(70)) and np.allclose([found[i] for i in range(70)], expected)
+    row = kernels.silhouette_summary(scored).first()
+    assert row.n == 70 and np.allclose([row["mean"], row["median"], row.p10, row.p90], [np.mean(expected), np.median(expected), *np.percentile(expected, [10, 90])])
+    assert QUERIES["cell_silhouette"](spark, data).count() == spark.read.parquet(f"{data}/embeddings.parquet").count()
