@@ -366,11 +366,11 @@ class _Join:
         return star.unionByName(self.verified(self.across(roots), "across"))
 
     def components(self) -> DataFrame:
-        """(key, component_id) of every class."""
+        """(key, root, component_id) of every class; root tells components apart that have the same least id."""
         roots = connect(self.links())
         joined = self.classes.select("key", "doc_id").join(roots.toDF("key", "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
         least = joined.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-        return joined.select("key", "root").join(least, "root").select("key", "component_id")
+        return joined.select("key", "root").join(least, "root").select("key", "root", "component_id")
 
 
 def link(documents: DataFrame, *, size: int = 5, share: tuple[int, int] = (75, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -413,9 +413,19 @@ def link_counts(documents: DataFrame, *, size: int = 5, share: tuple[int, int] =
 
 
 def keep_one(documents: DataFrame, *, size: int = 5, share: tuple[int, int] = (75, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Documents with all their columns, one of each component: that of the least id. Rows without an id or
-    without words stay; of rows that repeat the id and text of a kept one, one stays."""
-    found = link(documents, size=size, share=share, id_col=id_col, text_col=text_col)
-    gone = found.where("n_shingles > 0 and doc_id != component_id").select("doc_id", "th").distinct().toDF("__id", "__hash")
+    """Documents with all their columns, one row of each component: that of the least id, then text hash, then one
+    of equal rows. Rows without words stay; rows without an id are one group for each set of shingles."""
+    join = _Join(documents, size, share, id_col, text_col)
+    none = F.col("doc_id").isNull()
+    rows = join.stats.where("key is not null").groupBy("key", "doc_id", "th").agg(F.count("*").alias("rows"))
+    rows = rows.join(join.components().select("key", "root"), "key").select("doc_id", "th", "rows", none.alias("none"), F.when(none, F.col("key")).otherwise(F.col("root")).alias("group"))
+    first = rows.groupBy("group", "none").agg(F.min(F.struct("doc_id", "th")).alias("first"))
+    judged = rows.join(first, ["group", "none"]).withColumn("kept", F.struct("doc_id", "th").eqNullSafe(F.col("first")))
+    judged = join.scratch.table(judged.where("not kept or rows > 1").select(F.col("doc_id").alias("__id"), F.col("th").alias("__hash"), "kept"), "judged")
+    gone, several = judged.where("not kept").drop("kept"), judged.where("kept").drop("kept")
     mark = documents.select("*", F.col(id_col).cast("long").alias("__me"), F.xxhash64(F.col(text_col).cast("string")).alias("__mine"))
-    return mark.join(gone, (F.col("__me") == F.col("__id")) & (F.col("__mine") == F.col("__hash")), "left_anti").drop("__me", "__mine")
+    same = F.col("__me").eqNullSafe(F.col("__id")) & (F.col("__mine") == F.col("__hash"))
+    left = mark.join(gone, same, "left_anti")
+    if several.limit(1).count():  # only the rows that repeat a kept one are dealt by id and text
+        left = left.join(several, same, "left_anti").unionByName(left.join(several, same, "left_semi").dropDuplicates(["__me", "__mine"]))
+    return left.drop("__me", "__mine")

@@ -42,6 +42,17 @@ def test_small_cases(spark, monkeypatch, spread):
     assert sorted(str(r.doc_id) for r in kept.collect() if r.doc_id != 6) == sorted(str(i) for i, n, c in expected if (i == c or not n or i is None) and i != 6)
 
 
+def test_one_row_of_each_group_is_kept(spark):
+    long = " ".join(f"w{k}" for k in range(60))
+    docs = [*made(), (None, "few words"), (None, "other few words here"), (6, "some other FEW words"), (400, long), (400, long + " more"), (401, long + " than"), (400, "not at all alike"), (402, "not at all alike"), (2, "")]
+    kept = sorted(((r.doc_id, (r.text or "").lower()) for r in j.keep_one(spark.createDataFrame(docs, "doc_id long, text string")).collect()), key=str)
+    assert [t for i, t in kept if i == 6] == ["some other few words"]
+    assert [t for i, t in kept if i is None] == ["few words", "other few words here"]
+    assert sum(i in (400, 401, 402) and t.startswith("w0 ") for i, t in kept) == 1
+    assert [i for i, t in kept if t == "not at all alike"] == [400]
+    assert sum(not t for _, t in kept) == 3 and len({x for x in kept if x[1]}) == len([x for x in kept if x[1]])
+
+
 def test_every_link_is_found(spark):
     docs = made()
     sets = sorted({(i, t, brute.shingle_set(t)) for i, t in docs if i is not None and brute.shingle_set(t)}, key=lambda d: d[:2])
