@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .pseudobulk import means
 
+EVENT = ["source", "target", "ligand", "receptor"]
 #: Methods: (magnitude column, less is better, specificity column, less is better).
 METHODS = {
     "cellphonedb": ("lr_means", False, "cellphone_pvals", True),
@@ -34,6 +39,74 @@ def pair_scores(layer: DataFrame, obs: DataFrame, group: str, pairs: DataFrame,
     return met.select("source", "target", "ligand", "receptor", ((F.col("l") + F.col("r")) / 2).alias("lr_means"), (F.col("l") * F.col("r")).alias("expr_prod"), (F.col("lw") * F.col("rw")).alias("spec_weight"), (root / (root + F.col("mu"))).alias("lrscore"))
 
 
+#: The methods that are aggregated where none are named.
+DEFAULT = ("cellphonedb", "natmi", "sca", "logfc")
+
+
+def _named(layer: DataFrame, pairs: DataFrame) -> DataFrame:
+    genes = pairs.select(F.col("ligand").alias("gene_id")).union(pairs.select("receptor")).distinct()
+    return layer.join(F.broadcast(genes), "gene_id", "left_semi")
+
+
+def specificities(scores: DataFrame, layer: DataFrame, obs: DataFrame, group: str, pairs: DataFrame) -> DataFrame:
+    """``pair_scores`` with scaled_weight, the mean of both genes' z-scores in the group (over all cells, sample
+    deviation), and lr_logfc, the mean of both genes' log2((mean + 1) / (mean over the other cells + 1))."""
+    met = _named(layer, pairs).join(obs.select("cell_id", group), "cell_id")
+    sizes = obs.groupBy(group).agg(F.count("*").alias("n"))
+    per = met.groupBy(group, "gene_id").agg(F.sum("value").cast("double").alias("s")).join(sizes, group)
+    every = met.groupBy("gene_id").agg(F.sum("value").cast("double").alias("all"), F.sum(F.col("value").cast("double") * F.col("value")).alias("squares")).crossJoin(obs.agg(F.count("*").alias("cells")))
+    mean, centre = F.col("s") / F.col("n"), F.col("all") / F.col("cells")
+    spread = F.sqrt(F.greatest(F.lit(0.0), F.try_divide(F.col("squares") - F.col("cells") * centre * centre, F.col("cells") - 1)))
+    rest = F.coalesce(F.try_divide(F.col("all") - F.col("s"), F.col("cells") - F.col("n")), F.lit(0.0))
+    one = per.join(every, "gene_id").select(group, "gene_id", F.coalesce(F.try_divide(mean - centre, spread), F.lit(0.0)).alias("z"), F.log2((mean + 1) / (rest + 1)).alias("fc"))
+    left, right = one.toDF("source", "ligand", "lz", "lfc"), one.toDF("target", "receptor", "rz", "rfc")
+    both = scores.join(left, ["source", "ligand"]).join(right, ["target", "receptor"])
+    return both.select(*scores.columns, ((F.col("lz") + F.col("rz")) / 2).alias("scaled_weight"), ((F.col("lfc") + F.col("rfc")) / 2).alias("lr_logfc"))
+
+
+def permuted_pvals(scores: DataFrame, layer: DataFrame, obs: DataFrame, group: str, pairs: DataFrame, *, n_perms: int = 1000, seed: int = 42, buckets: int = 16) -> DataFrame:
+    """``pair_scores`` with cellphone_pvals: the share of permutations of the cells' labels whose lr_means reaches
+    the observed one. Ids and labels of the cells, 16 bytes each, are broadcast; a task has a bucket of genes, and
+    every task draws the same permutations."""
+    cells = obs.select("cell_id", F.col(group).cast("string").alias("g")).toPandas().sort_values("cell_id")
+    names, codes = np.unique(cells["g"].to_numpy(dtype=str), return_inverse=True)
+    shared = obs.sparkSession.sparkContext.broadcast((cells["cell_id"].to_numpy(), codes, names))
+
+    def null(part: pd.DataFrame) -> pd.DataFrame:
+        ids, codes, names = shared.value
+        genes, gene = np.unique(part["gene_id"].to_numpy(dtype=str), return_inverse=True)
+        at, value, k = np.searchsorted(ids, part["cell_id"].to_numpy()), part["value"].to_numpy(dtype=float), len(names)
+        sizes = np.tile(np.bincount(codes, minlength=k), len(genes))
+        drawn = np.array([np.bincount(gene * k + np.random.default_rng([seed, p]).permutation(codes)[at], weights=value, minlength=k * len(genes)) / sizes for p in range(n_perms)])
+        return pd.DataFrame({"g": np.tile(names, len(genes)), "gene_id": np.repeat(genes, k), "means": list(drawn.T)})
+
+    held = _named(layer, pairs).join(obs.select("cell_id"), "cell_id", "left_semi").select("cell_id", "gene_id", F.col("value").cast("double").alias("value"), F.pmod(F.xxhash64("gene_id"), F.lit(buckets)).alias("bucket"))
+    means_ = held.groupBy("bucket").applyInPandas(null, "g string, gene_id string, means array<double>")
+    left, right = means_.toDF("_s", "ligand", "_l"), means_.toDF("_t", "receptor", "_r")
+    met = scores.withColumn("_s", F.col("source").cast("string")).withColumn("_t", F.col("target").cast("string")).join(left, ["_s", "ligand"]).join(right, ["_t", "receptor"])
+    reached = F.filter(F.zip_with("_l", "_r", lambda a, b: (a + b) / 2), lambda x: x >= F.col("lr_means") - 1e-9)
+    return met.select(*scores.columns, (F.size(reached) / F.lit(n_perms)).alias("cellphone_pvals"))
+
+
+def robust_ranks(scores: DataFrame, methods: tuple[str, ...] = DEFAULT, key: list[str] = EVENT) -> DataFrame:
+    """Robust rank aggregation: magnitude_rank and specificity_rank over the methods' columns. Ranks, ties at their
+    mean, are divided by the rows; the least tail of the sorted ranks' order statistics counts, times their number."""
+    every = Window.partitionBy(F.lit(0))
+    n = F.count("*").over(every)
+
+    def share(c: str, up: bool) -> Column:
+        value = F.round(c, 9)
+        return (F.rank().over(every.orderBy(value.asc() if up else value.desc())) + (F.count("*").over(Window.partitionBy(value)) - 1) / 2) / n
+
+    def rho(columns: list[tuple[str, bool]]) -> Column:
+        k, ranks = len(columns), F.array_sort(F.array(*(share(c, up) for c, up in columns)))
+        tail = lambda i: sum((math.comb(k, j) * F.pow(F.get(ranks, F.lit(i - 1)), F.lit(j)) * F.pow(1 - F.get(ranks, F.lit(i - 1)), F.lit(k - j)) for j in range(i, k + 1)), F.lit(0.0))
+        return F.least(F.lit(1.0), k * F.array_min(F.array(*(tail(i) for i in range(1, k + 1)))))
+
+    sides = ([(METHODS[m][at], METHODS[m][at + 1]) for m in methods if METHODS[m][at]] for at in (0, 2))
+    return scores.select(*key, *(rho(columns).alias(name) for columns, name in zip(sides, ("magnitude_rank", "specificity_rank"), strict=True)))
+
+
 def aggregate_ranks(scores: DataFrame, columns: list[tuple[str, bool]], key: list[str]) -> DataFrame:
     """Mean of the normalised ranks by several columns (name, less is better)."""
     every = Window.partitionBy(F.lit(0))

@@ -99,9 +99,12 @@ def module_score(v: Views):
 _LR = "--with m AS (SELECT cluster_id, gene_id, sum(value) / n AS mean, count(*)::DOUBLE / n AS fraction FROM counts JOIN obs USING (cell_id) JOIN (SELECT cluster_id, count(*) AS n FROM obs GROUP BY 1) USING (cluster_id) GROUP BY 1, 2, n), w AS (SELECT *, mean / sum(mean) OVER (PARTITION BY gene_id) AS weight FROM m), lr AS (SELECT unnest(['Brand#11', 'Brand#12', 'Brand#23']) AS ligand, unnest(['Brand#21', 'Brand#22', 'Brand#14']) AS receptor), mu AS (SELECT sum(value) / ((SELECT count(*) FROM obs) * count(DISTINCT gene_id)) AS mu FROM counts), ev AS (SELECT a.cluster_id AS source, b.cluster_id AS target, ligand, receptor, (a.mean + b.mean) / 2 AS lr_means, a.mean * b.mean AS expr_prod, a.weight * b.weight AS spec_weight, sqrt(a.mean * b.mean) / (sqrt(a.mean * b.mean) + mu) AS lrscore FROM lr JOIN w a ON a.gene_id = ligand AND a.fraction >= 0.1 JOIN w b ON b.gene_id = receptor AND b.fraction >= 0.1, mu)"
 
 
+def pairs_of(v: Views):
+    return v.spark.createDataFrame([("Brand#11", "Brand#21"), ("Brand#12", "Brand#22"), ("Brand#23", "Brand#14")], "ligand string, receptor string")
+
+
 def events_of(v: Views):
-    pairs = v.spark.createDataFrame([("Brand#11", "Brand#21"), ("Brand#12", "Brand#22"), ("Brand#23", "Brand#14")], "ligand string, receptor string")
-    return communication.pair_scores(v.counts, v.obs, "cluster_id", pairs)
+    return communication.pair_scores(v.counts, v.obs, "cluster_id", pairs_of(v))
 
 
 @query("ligand_receptor", _LR + " SELECT source, target, ligand, receptor, round(lr_means, 6) AS lr_means, round(expr_prod, 5) AS expr_prod, round(spec_weight, 6) AS spec_weight, round(lrscore, 6) AS lrscore FROM ev")
@@ -114,6 +117,14 @@ def rank_aggregate(v: Views):
     return communication.aggregate_ranks(events_of(v), [("lr_means", False), ("lrscore", False)], ["source", "target", "ligand", "receptor"]).withColumn("magnitude_rank", F.round("magnitude_rank", 6))
 
 
+@query("robust_rank_aggregate")
+def robust_rank_aggregate(v: Views):
+    """Seeded permutations."""
+    scores = communication.specificities(events_of(v), v.counts, v.obs, "cluster_id", pairs_of(v))
+    scores = communication.permuted_pvals(scores, v.counts, v.obs, "cluster_id", pairs_of(v))
+    return scores.join(communication.robust_ranks(scores), communication.EVENT)
+
+
 @query("source_target_summary", _LR + " SELECT source, target, count(*) AS n, round(avg(lrscore), 6) AS mean_score FROM ev GROUP BY 1, 2")
 def source_target_summary(v: Views):
     return communication.summary(events_of(v), "lrscore").withColumn("mean_score", F.round("mean_score", 6))

@@ -105,3 +105,45 @@ def test_every_cell_has_a_silhouette(spark, data):
     row = kernels.silhouette_summary(scored).first()
     assert row.n == 70 and np.allclose([row["mean"], row["median"], row.p10, row.p90], [np.mean(expected), np.median(expected), *np.percentile(expected, [10, 90])])
     assert QUERIES["cell_silhouette"](spark, data).count() == spark.read.parquet(f"{data}/embeddings.parquet").count()
+
+
+def test_ligand_receptor_specificity_and_robust_ranks(spark, data):
+    from gridloom.operators import communication as c
+    from gridloom.plans.queries import QUERIES
+
+    rng = np.random.default_rng(6)
+    x, groups = rng.poisson(1.5, size=(40, 4)).astype(float), np.array(list("abc"))[rng.integers(0, 3, 40)]
+    layer = spark.createDataFrame([(i, f"g{g}", float(x[i, g])) for i in range(40) for g in range(4) if x[i, g]], "cell_id long, gene_id string, value double")
+    obs = spark.createDataFrame([(i, str(groups[i])) for i in range(40)], "cell_id long, grp string")
+    pairs = spark.createDataFrame([("g0", "g1"), ("g2", "g3")], "ligand string, receptor string")
+    scores = c.specificities(c.pair_scores(layer, obs, "grp", pairs), layer, obs, "grp", pairs)
+    scores = c.permuted_pvals(scores, layer, obs, "grp", pairs, n_perms=200).cache()
+    rows = scores.collect()
+    names, codes = np.unique(groups, return_inverse=True)
+    perms = [np.random.default_rng([42, p]).permutation(codes) for p in range(200)]
+    z = (x - x.mean(axis=0)) / x.std(axis=0, ddof=1)
+    for r in rows:
+        a, b, l, m = list(names).index(r.source), list(names).index(r.target), int(r.ligand[1]), int(r.receptor[1])
+        fc = lambda k, g: np.log2(x[codes == k, g].mean() + 1) - np.log2(x[codes != k, g].mean() + 1)
+        drawn = [(x[p == a, l].mean() + x[p == b, m].mean()) / 2 for p in perms]
+        assert np.isclose(r.cellphone_pvals, np.mean(np.array(drawn) >= r.lr_means - 1e-9))
+        assert np.isclose(r.scaled_weight, (z[codes == a, l].mean() + z[codes == b, m].mean()) / 2)
+        assert np.isclose(r.lr_logfc, (fc(a, l) + fc(b, m)) / 2)
+    assert len(rows) == 18
+
+    def rho(columns):
+        ranks = []
+        for name, up in columns:
+            v = np.array([round(r[name], 9) * (1 if up else -1) for r in rows])
+            ranks.append([((v < e).sum() + (v <= e).sum() + 1) / 2 / len(v) for e in v])
+        out = []
+        for u in np.sort(np.array(ranks).T, axis=1):
+            k = len(u)
+            out.append(min(1.0, k * min(sum(math.comb(k, j) * u[i] ** j * (1 - u[i]) ** (k - j) for j in range(i + 1, k + 1)) for i in range(k))))
+        return out
+
+    found = {tuple(r[e] for e in c.EVENT): (r.magnitude_rank, r.specificity_rank) for r in c.robust_ranks(scores).collect()}
+    expected = zip(rho([("lr_means", False), ("expr_prod", False), ("lrscore", False)]), rho([("cellphone_pvals", True), ("spec_weight", False), ("lr_logfc", False)]), strict=True)
+    for r, e in zip(rows, expected, strict=True):
+        assert np.allclose(found[tuple(r[k] for k in c.EVENT)], e)
+    assert QUERIES["robust_rank_aggregate"](spark, data).count() == QUERIES["ligand_receptor"](spark, data).count()
