@@ -1,9 +1,10 @@
 """Where equal hashes of different documents meet: a packed exchange by hash range.
 
 Rows of a *state* table are blocks of documents: ``block`` (unique id), ``docs`` (int64 ids), ``owner``
-(int32, document of each entry) and ``hash`` (uint64 per entry), all as packed bytes. A block sends every
-distinct hash once, with the smallest id that has it there, so a hash that a third of the corpus holds costs
-one entry a block and no task gathers its documents. Back comes one byte per entry.
+(int32, document of each entry), ``hash`` (uint64 per entry) and ``guard`` (empty, or uint64 per entry: the
+rest of a 128-bit digest, equal only where the hashed things are equal), all as packed bytes. A block sends
+every distinct hash once, with the smallest id that has it there, so a hash that a third of the corpus holds
+costs one entry a block and no task gathers its documents. Back comes one byte per entry.
 """
 
 from __future__ import annotations
@@ -21,19 +22,41 @@ from . import textkit as tk
 ENTRIES_A_TASK = 250_000
 REPEATED, FIRST_HERE = 1, 2
 
-_SENT = "bucket long, block long, hash binary, least binary, many binary"
+_SENT = "bucket long, block long, hash binary, guard binary, least binary, many binary"
 _BACK = "block long, bucket long, flags binary"
 
 
-def distinct(docs: np.ndarray, owner: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct hashes of a block in order, the least id of each, and whether several ids have it."""
-    if not len(hashes):
-        return hashes, np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint8)
+def _ordered(hashes: np.ndarray, guards: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """An order that brings equal entries together, and in it the places where a new value begins."""
     order = np.argsort(hashes, kind="stable")
-    values, who = hashes[order], docs[owner[order]]
-    head = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+    values = hashes[order]
+    fresh = values[1:] != values[:-1]
+    if guards is not None:
+        apart = guards[order][1:] != guards[order][:-1]
+        if (apart & ~fresh).any():
+            order = np.lexsort((guards, hashes))
+            values = hashes[order]
+            apart = (values[1:] != values[:-1]) | (guards[order][1:] != guards[order][:-1])
+        fresh = fresh | apart
+    return order, np.flatnonzero(np.concatenate([[True], fresh]))
+
+
+def _guards(row: dict) -> np.ndarray | None:
+    return np.frombuffer(row["guard"], dtype=np.uint64) if row["guard"] else None
+
+
+def distinct(docs: np.ndarray, owner: np.ndarray, hashes: np.ndarray, guards: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashes of a block in order, their guards, the least id of each, whether several ids have it, and
+    the place of each entry among them."""
+    if not len(hashes):
+        return hashes, hashes, np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint8), np.zeros(0, dtype=np.int64)
+    order, head = _ordered(hashes, guards)
+    who = docs[owner[order]]
     least = np.minimum.reduceat(who, head)
-    return values[head], least, (np.maximum.reduceat(who, head) > least).astype(np.uint8)
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(order))))
+    kept = hashes[:0] if guards is None else guards[order[head]]
+    return hashes[order[head]], kept, least, (np.maximum.reduceat(who, head) > least).astype(np.uint8), place
 
 
 def buckets_of(hashes: np.ndarray, bits: int) -> tuple[list[int], np.ndarray]:
@@ -59,31 +82,31 @@ def repeated(state: DataFrame, tasks: int) -> DataFrame:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                values, least, many = distinct(tk.unpack64(row["docs"]), np.frombuffer(row["owner"], dtype=np.int32), np.frombuffer(row["hash"], dtype=np.uint64))
+                values, guards, least, many, _ = distinct(tk.unpack64(row["docs"]), np.frombuffer(row["owner"], dtype=np.int32), np.frombuffer(row["hash"], dtype=np.uint64), _guards(row))
                 bucket, border = buckets_of(values, bits)
                 cuts = list(zip(border[:-1].tolist(), border[1:].tolist(), strict=True))
                 yield pa.RecordBatch.from_pydict({
                     "bucket": pa.array(bucket, pa.int64()), "block": pa.array([row["block"]] * len(cuts), pa.int64()),
-                    "hash": pa.array([values[a:b].tobytes() for a, b in cuts], pa.binary()),
+                    "hash": pa.array([values[a:b].tobytes() for a, b in cuts], pa.binary()), "guard": pa.array([guards[a:b].tobytes() for a, b in cuts], pa.binary()),
                     "least": pa.array([tk.pack64(least[a:b]) for a, b in cuts], pa.binary()),
                     "many": pa.array([many[a:b].tobytes() for a, b in cuts], pa.binary()),
                 })
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, block, hashes, least, many = [], [], [], [], []
+        bucket, block, hashes, guards, least, many = [], [], [], [], [], []
         for batch in batches:
             bucket += batch.column("bucket").to_pylist()
             block += batch.column("block").to_pylist()
             hashes += [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in batch.column("hash")]
+            guards += [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in batch.column("guard")]
             least += [tk.unpack64(x.as_buffer()) for x in batch.column("least")]
             many += [np.frombuffer(x.as_buffer(), dtype=np.uint8) for x in batch.column("many")]
         if not hashes:
             return
         border = np.concatenate([[0], np.cumsum([len(x) for x in hashes])]).tolist()
-        values, who, several = np.concatenate(hashes), np.concatenate(least), np.concatenate(many)
-        del hashes, least, many
-        order = np.argsort(values, kind="stable")
-        head = np.flatnonzero(np.concatenate([[True], values[order][1:] != values[order][:-1]]))
+        values, strict, who, several = np.concatenate(hashes), np.concatenate(guards), np.concatenate(least), np.concatenate(many)
+        del hashes, guards, least, many
+        order, head = _ordered(values, strict if len(strict) else None)
         size = np.diff(np.append(head, len(order)))
         low = np.minimum.reduceat(who[order], head)
         met = (np.maximum.reduceat(who[order], head) > low) | (np.maximum.reduceat(several[order], head) > 0)
@@ -95,20 +118,19 @@ def repeated(state: DataFrame, tasks: int) -> DataFrame:
             part = keep[at : at + 4096]
             yield pa.RecordBatch.from_pydict({"block": pa.array([block[k] for k in part], pa.int64()), "bucket": pa.array([bucket[k] for k in part], pa.int64()), "flags": pa.array([flags[border[k] : border[k + 1]].tobytes() for k in part], pa.binary())})
 
-    return state.select("block", "docs", "owner", "hash").mapInArrow(send, _SENT).repartition(tasks, "bucket").mapInArrow(meet, _BACK)
+    return state.select("block", "docs", "owner", "hash", "guard").mapInArrow(send, _SENT).repartition(tasks, "bucket").mapInArrow(meet, _BACK)
 
 
 def flags_of(row: dict, back: list[dict], bits: int) -> tuple[np.ndarray, np.ndarray]:
     """For each entry of a block's row: is its hash repeated, and has a document of a smaller id it?"""
     docs, owner, hashes = tk.unpack64(row["docs"]), np.frombuffer(row["owner"], dtype=np.int32), np.frombuffer(row["hash"], dtype=np.uint64)
-    values, least, _ = distinct(docs, owner, hashes)
+    values, _, least, _, place = distinct(docs, owner, hashes, _guards(row))
     bucket, border = buckets_of(values, bits)
     cut = dict(zip(bucket, zip(border[:-1].tolist(), border[1:].tolist(), strict=True), strict=True))
     flags = np.zeros(len(values), dtype=np.uint8)
     for x in back:
         low, high = cut[x["bucket"]]
         flags[low:high] = np.frombuffer(x["flags"], dtype=np.uint8)
-    place = np.searchsorted(values, hashes)
     mine = flags[place]
     again = (mine & REPEATED) > 0
     return again, again & (((mine & FIRST_HERE) == 0) | (docs[owner] > least[place]))

@@ -6,13 +6,19 @@ repeats has a chosen half that repeats. Halves that repeat alone are extended to
 windows that repeat alone are extended to twice that length, and so on until no candidate survives. What
 moves between machines is one entry per distinct hash and block of documents (see ``meeting``).
 
-Copies of a whole word sequence are settled before: all but the least id of such a class consist of repeated
-windows and are never a window's first holder, so they take no part in the levels.
+Halves meet by 64-bit hashes, which only picks candidates. From the full length on, a window is known by a
+128-bit cryptographic digest of its own words, so a collision of the hashes never removes a word.
+
+Copies of a whole word sequence (by SHA-256) are settled before: all but the least id of such a class consist of
+repeated windows and are never a window's first holder, so they take no part in the levels.
 
 Defined cases
-    null or empty text: no words. Fewer words than the window: nothing repeats. A null id is never compared
+    null or empty text: no words. Fewer words than the window: nothing repeats. A text of any length is taken
+    whole, words of any length too; its windows travel in rows of bounded size. A null id is never compared
     and keeps all its words. Rows that repeat an id count as one document: a window needs a smaller id
-    elsewhere. Other columns are ignored here and passed through by ``clean``.
+    elsewhere. Ties: of equal windows the one in the least id stays, wherever in the text; two of one document both
+    stay or both go. An empty table gives an empty result. Other columns are ignored here and passed through by
+    ``clean``.
 """
 
 from __future__ import annotations
@@ -28,12 +34,13 @@ from pyspark.sql import functions as F
 
 from . import meeting
 from . import textkit as tk
+from .hot import heavy_keys, spread_join
 from .scratch import Scratch, small_batches
 from .texts import chosen, keyed
 
-_FIELDS = [("kind", pa.int32()), ("doc_id", pa.int64()), ("th", pa.int64()), ("n_words", pa.int64()), ("level", pa.int32()), ("value", pa.binary()), ("block", pa.int64()), ("docs", pa.binary()), ("ths", pa.binary()), ("owner", pa.binary()), ("pos", pa.binary()), ("hash", pa.binary())]
+_FIELDS = [("kind", pa.int32()), ("doc_id", pa.int64()), ("th", pa.int64()), ("n_words", pa.int64()), ("level", pa.int32()), ("value", pa.binary()), ("block", pa.int64()), ("docs", pa.binary()), ("ths", pa.binary()), ("owner", pa.binary()), ("pos", pa.binary()), ("hash", pa.binary()), ("guard", pa.binary())]
 _ARROW = pa.schema(_FIELDS)
-_SPARK = "kind int, doc_id long, th long, n_words long, level int, value binary, block long, docs binary, ths binary, owner binary, pos binary, hash binary"
+_SPARK = "kind int, doc_id long, th long, n_words long, level int, value binary, block long, docs binary, ths binary, owner binary, pos binary, hash binary, guard binary"
 DOCUMENT, BLOCK, WINDOWS = 0, 1, 2
 #: Entries of a state row.
 STATE = 1 << 14
@@ -53,20 +60,22 @@ class _Blocks:
         self.clear()
 
     def clear(self) -> None:
-        self.docs, self.ths, self.owner, self.pos, self.hash, self.size = [], [], [], [], [], 0
+        self.docs, self.ths, self.owner, self.pos, self.hash, self.guard, self.size = [], [], [], [], [], [], 0
 
-    def add(self, doc: int, th: int, pos: np.ndarray, hashes: np.ndarray) -> None:
+    def add(self, doc: int, th: int, pos: np.ndarray, hashes: np.ndarray, guards: np.ndarray | None = None) -> None:
         self.owner.append(np.full(len(pos), len(self.docs), dtype=np.int32))
         self.docs.append(doc)
         self.ths.append(th)
         self.pos.append(pos.astype(np.int32))
         self.hash.append(hashes)
+        if guards is not None:
+            self.guard.append(guards)
         self.size += len(pos)
 
     def out(self, at_least: int = 1) -> Iterator[pa.RecordBatch]:
         if self.size >= at_least:
             self.next += 1
-            yield _batch(kind=[BLOCK], block=[self.next], docs=[tk.pack64(np.array(self.docs, dtype=np.int64))], ths=[tk.pack64(np.array(self.ths, dtype=np.int64))], owner=[np.concatenate(self.owner).tobytes()], pos=[np.concatenate(self.pos).tobytes()], hash=[np.concatenate(self.hash).tobytes()])
+            yield _batch(kind=[BLOCK], block=[self.next], docs=[tk.pack64(np.array(self.docs, dtype=np.int64))], ths=[tk.pack64(np.array(self.ths, dtype=np.int64))], owner=[np.concatenate(self.owner).tobytes()], pos=[np.concatenate(self.pos).tobytes()], hash=[np.concatenate(self.hash).tobytes()], guard=[b"".join(x.tobytes() for x in self.guard)])
             self.clear()
 
 
@@ -150,9 +159,9 @@ def _match(bits: int, level: int, window: int):
             partner = np.searchsorted(key, key + level)
             both = np.flatnonzero((partner < len(key)) & (key[np.minimum(partner, len(key) - 1)] == key + level)) if len(key) else key
             if len(both):
-                kept, mine = hashes[again], owner[again][both]
+                kept, guards, mine = hashes[again], np.frombuffer(row["guard"], dtype=np.uint64)[again], owner[again][both]
                 used, mine = np.unique(mine, return_inverse=True)
-                out.append(_batch(kind=[BLOCK], block=[row["block"]], docs=[tk.pack64(docs[used])], ths=[tk.pack64(ths[used])], owner=[mine.astype(np.int32).tobytes()], pos=[pos[again][both].tobytes()], hash=[tk.join_grams(kept[both], kept[partner[both]]).tobytes()]))
+                out.append(_batch(kind=[BLOCK], block=[row["block"]], docs=[tk.pack64(docs[used])], ths=[tk.pack64(ths[used])], owner=[mine.astype(np.int32).tobytes()], pos=[pos[again][both].tobytes()], hash=[tk.join_grams(kept[both], kept[partner[both]]).tobytes()], guard=[tk.join_grams(guards[both], guards[partner[both]]).tobytes()]))
         return pa.Table.from_batches(out, schema=_ARROW)
 
     return run
@@ -167,7 +176,7 @@ def _merge(starts: np.ndarray, window: int) -> np.ndarray:
 
 
 def _full_windows(window: int):
-    """State of the full windows whose chosen half is among the document's repeated ones."""
+    """State of the full windows whose chosen half is among the document's repeated ones, by digests of their words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = _Blocks()
@@ -179,14 +188,14 @@ def _full_windows(window: int):
             for low, high in tk.blocks(offsets):
                 words = tk.Words(raw[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], tk.SPACED, False)
                 _, full, halves = _chosen_halves(words, window)
-                hashes, _ = words.grams(window)
+                text, _, start, end = words.joined_spans()
                 border = np.searchsorted(full, words.first).tolist()
                 for row in range(high - low):
                     part = slice(border[row], border[row + 1])
                     known = np.frombuffer(values[low + row].as_buffer(), dtype=np.uint64)
-                    held = np.isin(halves[part], known)
-                    if held.any():
-                        state.add(int(doc[low + row]), int(th[low + row]), full[part][held] - words.first[row], hashes[part][held])
+                    held = full[part][np.isin(halves[part], known)]
+                    if len(held):
+                        state.add(int(doc[low + row]), int(th[low + row]), held - words.first[row], *tk.window_digests(text, start[held], end[held + window - 1]))
                 yield from state.out(STATE)
         yield from state.out()
 
@@ -215,7 +224,7 @@ def find(documents: DataFrame, *, window: int = 50, id_col: str = "doc_id", text
     scan = scratch.table(rows.mapInArrow(_scan(window), _SPARK), "scan")
     stats = scan.where(F.col("kind") == DOCUMENT).select("doc_id", "th", "n_words", F.col("value").alias("digest"))
     firsts = stats.where(F.col("doc_id").isNotNull() & (F.col("n_words") >= window)).groupBy("digest").agg(F.min("doc_id").alias("copy_of"))
-    stats = stats.join(firsts, "digest", "left")
+    stats = spread_join(stats, firsts, "digest", heavy_keys(stats, "digest"), "left", by="doc_id")
     stats = stats.withColumn("copy_of", F.when((F.col("n_words") >= window) & (F.col("doc_id") > F.col("copy_of")), F.col("copy_of")))
     stats = scratch.table(stats, "documents")
     state = scan.where(F.col("kind") == BLOCK)
@@ -223,6 +232,7 @@ def find(documents: DataFrame, *, window: int = 50, id_col: str = "doc_id", text
     alone = stats.where(F.col("copy_of").isNull()).select("doc_id", "th").distinct()
     # a row that repeats an id may stand in several blocks: its text is the same, so any one will do
     keys = first.select("doc_id", "th", "value").groupBy("doc_id", "th").agg(F.min("value").alias("value")).join(alone, ["doc_id", "th"], "left_semi")
+    keys = scratch.table(keys, "keys")
     state = scratch.table(chosen(rows, keys).dropDuplicates(["doc_id", "th"]).mapInArrow(_full_windows(window), _SPARK), "windows")
     scratch.drop("scan")
     found, level = None, window
@@ -234,7 +244,7 @@ def find(documents: DataFrame, *, window: int = 50, id_col: str = "doc_id", text
     if found is None:
         found = spark.createDataFrame([], "doc_id long, th long, level int, value binary")
     removals = found.groupBy("doc_id", "th").agg(F.max(F.when(F.length("value") > 0, F.col("value"))).alias("spans"), F.max("level").alias("longest"))
-    return stats, removals
+    return stats, scratch.table(removals, "removals")
 
 
 def _kept(window: int, texts: bool):

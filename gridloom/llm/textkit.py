@@ -2,19 +2,22 @@
 
 Texts stay UTF-8 bytes in one flat buffer; word borders, hashes and windows are numpy expressions over
 that buffer, so no Python object is made per word. Blocks bound the working memory.
+
+A word's hash mixes each eight of its bytes before it adds them up, so no pattern of letters cancels out as it
+does in polynomials modulo 2**64. Equal hashes are still no proof of equal words: whoever needs that compares
+the words, or digests of them (``window_digests``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 BLOCK_BYTES = 1 << 18
-LONG_BYTES = 1 << 22
 U64 = np.uint64
 
 
@@ -29,10 +32,13 @@ SPACED = _class({0x20, *range(0x09, 0x0E)})
 #: Bytes of words made of ASCII letters, digits and anything beyond ASCII.
 ALNUM = _class({*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)} - set(range(0x41, 0x5B)))
 
-_random = np.random.default_rng(0x5EED)
-_BYTE = _random.integers(1, 2**63, 256, dtype=np.int64).astype(U64) * U64(2) + U64(1)
 _STEP = U64(0x9E3779B97F4A7C15)
 _WORD_STEP = U64(0xD1342543DE82EF95)
+_SALT = U64(0x2545F4914F6CDD1D)
+#: The first k bytes of a little-endian long.
+_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=U64)
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] = np.arange(0x61, 0x7B)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -59,20 +65,26 @@ class _Powers:
         return self.values[:n]
 
 
-_byte_powers = _Powers(_STEP)
-_byte_inverse = _Powers(U64(pow(int(_STEP), -1, 2**64)))
 _word_powers = _Powers(_WORD_STEP)
 _word_inverse = _Powers(U64(pow(int(_WORD_STEP), -1, 2**64)))
 
 
-@lru_cache(maxsize=8)
-def _table(kind: bytes, lower: bool) -> np.ndarray:
-    """A random factor per byte, 0 for separators."""
-    table = _BYTE.copy()
-    if lower:
-        table[0x41:0x5B] = _BYTE[0x61:0x7B]
-    table[~np.frombuffer(kind, dtype=bool)] = 0
-    return table
+def word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words raw[start:end]; one eight of bytes for most, more for longer words."""
+    padded = np.zeros(len(raw) + 8, dtype=np.uint8)
+    padded[: len(raw)] = raw
+    eights = np.ndarray((len(raw) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    length = end - start
+    sums = mix((eights[start] & _BYTES[np.minimum(length, 8)]) ^ _SALT)
+    if (wide := np.flatnonzero(length > 8)).size:
+        more = (length[wide] - 1) >> 3
+        border = np.cumsum(more) - more
+        place = np.arange(int(more.sum())) - np.repeat(border, more) + 1
+        at, left = np.repeat(start[wide], more) + 8 * place, np.repeat(length[wide], more) - 8 * place
+        parts = mix((eights[at] & _BYTES[np.minimum(left, 8)]) ^ _SALT)
+        parts *= mix(place.astype(U64) * _STEP) | U64(1)
+        sums[wide] += np.add.reduceat(parts, border)
+    return mix(sums + length.astype(U64) * _STEP)
 
 
 def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -132,22 +144,7 @@ class Words:
         if not len(self.start):
             self.hash = np.zeros(0, dtype=U64)
             return
-        values = _table(kind.tobytes(), lower).take(raw)
-        length = self.end - self.start
-        if len(raw) <= LONG_BYTES:
-            values *= _byte_powers.upto(len(raw))
-            sums = np.zeros(len(raw) + 1, dtype=U64)
-            np.cumsum(values, out=sums[1:])
-            sums = (sums[self.end] - sums[self.start]) * _byte_inverse.upto(len(raw))[self.start]
-        else:  # the same sums, without powers as long as the text
-            begin = int(self.start[0])
-            spread = np.diff(np.append(self.start, len(raw))).astype(np.int32)
-            place = np.arange(begin, len(raw), dtype=np.int32) - np.repeat(self.start.astype(np.int32), spread)
-            powers = _byte_powers.upto(int(length.max()))
-            values = values[begin:]
-            values *= powers.take(place, mode="clip")
-            sums = np.add.reduceat(values, self.start - begin)
-        self.hash = mix(sums + length.astype(U64) * _STEP)
+        self.hash = word_hashes(_LOWER.take(raw) if lower else raw, self.start, self.end)
 
     def __len__(self) -> int:
         return len(self.start)
@@ -187,6 +184,17 @@ class Words:
         size = np.concatenate([[0], np.cumsum(keep)])
         return value.tobytes(), size[self.offsets].tolist()
 
+    def joined_spans(self) -> tuple[bytes, list[int], np.ndarray, np.ndarray]:
+        """``joined`` with the borders of every word in it."""
+        text, border = self.joined()
+        length = self.end - self.start
+        start = np.cumsum(length) - length
+        if len(start):  # one space between words of a row, none between rows
+            counts = self.counts()
+            spaces = np.arange(len(start)) - np.repeat(np.cumsum(counts > 0) - 1, counts)
+            start = start + spaces
+        return text, border, start, start + length
+
     def text(self, low: int, high: int, lower: bool = False) -> bytes:
         """Words low..high-1 joined by one space."""
         raw = self.raw.tobytes() if high - low > 10_000 else None
@@ -199,6 +207,13 @@ class Words:
         return found.lower() if lower else found
 
 
+def window_digests(text: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit cryptographic digests of the windows text[start:end], as two arrays of longs."""
+    blob = b"".join([blake2b(text[a:b], digest_size=16).digest() for a, b in zip(start.tolist(), end.tolist(), strict=True)])
+    both = np.frombuffer(blob, dtype=U64).reshape(-1, 2)
+    return both[:, 0].copy(), both[:, 1].copy()
+
+
 def count_words(raw: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> np.ndarray:
     """Number of words of each row, without their hashes."""
     if not len(raw):

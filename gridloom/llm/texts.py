@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SIEVE_BITS = 24
+#: Bits of a sieve for each chosen document, and the least and greatest logarithm of a sieve's size.
+BITS_A_KEY, LEAST_BITS, MOST_BITS = 16, 12, 26
 
 
 def keyed(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -13,16 +14,18 @@ def keyed(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("th", F.xxhash64("text"))
 
 
-_WORD = f"(xxhash64(doc_id) & {(1 << SIEVE_BITS) - 1}) >> 6"
-_BIT = "shiftleft(1L, cast(xxhash64(doc_id) & 63 as int))"
-
-
 def chosen(rows: DataFrame, keys: DataFrame) -> DataFrame:
     """Rows of ``keyed`` documents with a key (doc_id, th) in ``keys``, with the keys' other columns.
 
-    A sieve of 2**24 bits, at most 2**18 longs whatever the data, is broadcast and lets through the keys'
-    documents and by chance a few others; only their texts are shuffled to the exact join.
+    ``keys`` is read twice: a written table. A sieve of about 16 bits a key is broadcast and lets through the keys'
+    documents and by chance a few others; only their texts are shuffled to the exact join. It has at most 2**26
+    bits, in 2**20 longs; with so many keys that these would hold most documents back no longer, there is none.
     """
-    sieve = keys.select(F.expr(_WORD).alias("_word"), F.expr(_BIT).alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
-    passed = rows.withColumn("_word", F.expr(_WORD)).join(F.broadcast(sieve), "_word").where(f"(_bits & {_BIT}) != 0").drop("_word", "_bits")
+    n = keys.count()
+    if 2 * n > 1 << MOST_BITS:
+        return rows.join(keys, ["doc_id", "th"])
+    bits = min(MOST_BITS, max(LEAST_BITS, (BITS_A_KEY * n).bit_length()))
+    word, bit = f"(xxhash64(doc_id) & {(1 << bits) - 1}) >> 6", "shiftleft(1L, cast(xxhash64(doc_id) & 63 as int))"
+    sieve = keys.select(F.expr(word).alias("_word"), F.expr(bit).alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    passed = rows.withColumn("_word", F.expr(word)).join(F.broadcast(sieve), "_word").where(f"(_bits & {bit}) != 0").drop("_word", "_bits")
     return passed.join(keys, ["doc_id", "th"])

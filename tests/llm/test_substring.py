@@ -44,3 +44,40 @@ def test_query_against_brute_force(spark, data):
     found = rows(q.op5_substring_dedup(spark, data))
     assert found == sorted(brute.substring(docs), key=str)
     assert any(r[2] for r in found)
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") & 1] for i in range(n))
+
+
+def test_long_words_that_polynomials_confuse(spark):
+    """Windows of 49 equal words and one long word whose letters are swapped aren't equal."""
+    common, word = [f"w{i}" for i in range(49)], thue_morse(2048)
+    other = word.translate(str.maketrans("ab", "ba"))
+    docs = [(1, " ".join([*common, word])), (2, " ".join([*common, other])), (3, " ".join([*common, word, "end"])), (4, " ".join([word * 40, *common, other]))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert [r[2] for r in sorted(rows(s.summary(frame)))] == [0, 0, 50, 50]
+    assert rows(s.summary(frame)) == sorted(brute.substring(docs), key=str)
+
+
+def test_equal_hashes_with_other_guards_stay_apart():
+    import numpy as np
+
+    from gridloom.llm import meeting
+
+    docs, owner, hashes, guards = np.array([4, 7, 9]), np.array([0, 1, 2, 1, 2]), np.array([5, 5, 5, 8, 5], dtype=np.uint64), np.array([1, 2, 1, 3, 2], dtype=np.uint64)
+    values, kept, least, many, place = meeting.distinct(docs, owner, hashes, guards)
+    assert values.tolist() == [5, 5, 8] and kept.tolist() == [1, 2, 3] and least.tolist() == [4, 7, 7]
+    assert many.tolist() == [1, 1, 0] and place.tolist() == [0, 1, 0, 2, 1]
+    assert meeting.distinct(docs, owner, hashes, None)[0].tolist() == [5, 8]
+
+
+def test_group_of_copies_and_a_very_long_text(spark, monkeypatch):
+    from gridloom.llm import hot
+
+    monkeypatch.setattr(hot, "LEAST_ROWS", 5)
+    rnd = random.Random(8)
+    copy = " ".join(rnd.choice("abcdefgh") for _ in range(70))
+    docs = [(i, copy) for i in range(10, 90)] + [(5, " ".join(rnd.choice("abcdefgh") for _ in range(60_000)) + " " + copy), (3, "z " + copy)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert rows(s.summary(frame)) == sorted(brute.substring(docs), key=str)
