@@ -22,9 +22,10 @@ def heavy_keys(frame: DataFrame, on: str, total: int | None = None) -> DataFrame
 
 def spread_join(many: DataFrame, few: DataFrame, on: str, heavy: DataFrame, how: str = "inner", by: str | None = None) -> DataFrame:
     """``many.join(few, on, how)`` (inner, left or left_semi), the heavy keys' rows of ``many`` in parts of bounded
-    size. Rows with a null key match nothing. ``by`` names the column that deals rows to parts; else all do."""
+    size. Rows with a null key match nothing and are dealt too. ``by`` names the column that deals rows to parts; else all do."""
     heavy = F.broadcast(heavy)
-    part = F.coalesce(F.pmod(F.xxhash64(*([by] if by else many.columns)), F.col("_parts")).cast("int"), F.lit(0))
+    place = F.xxhash64(*([by] if by else many.columns))
+    part = F.when(F.col(on).isNull(), F.pmod(place, F.lit(MOST_KEYS)).cast("int")).otherwise(F.coalesce(F.pmod(place, F.col("_parts")).cast("int"), F.lit(0)))
     left = many.join(heavy, on, "left").withColumn("_part", part).drop("_parts")
     right = few.join(heavy, on, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1))).drop("_parts")
     return left.join(right, [on, "_part"], how).drop("_part")

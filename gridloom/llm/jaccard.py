@@ -6,12 +6,17 @@ Each document picks its own m by estimated cost: frequent shingles in the prefix
 longer prefix that must be met m times has fewer. A pair is verified when the prefixes share as many shingles
 as the smaller m of the two.
 
+Shingles travel as 64-bit hashes, which only pick candidates. A link counts shingles whose words are equal. A class
+of equal sets is keyed by a hash; where one key has several word sequences, their sets are compared by the words
+themselves, and a set that isn't that of its key gets a key of its own.
+
 Scale
     * One class of equal sets acts as one document, so copies cost one entry a task.
     * Prefix shingles travel packed, by hash range; those of a single class end there. Shingles known to be
       very frequent are spread by document instead, so no task holds such a list.
     * Every set has a bitmap of its hashes (after Sandes, Teodoro and Melo, 2020). Bits that one of a pair has
       alone bound the overlap from above, and only pairs that pass this bound have their texts fetched.
+    * Joins with a class, shingle or component that many rows have are cut into parts (see ``hot``).
     * Every class is first linked with the most central class that it meets (a star). The full candidate
       search then leaves out pairs that are connected already: a large group of near copies costs its size,
       not its square, and no link between different components is lost. ``link_pairs`` and ``link_counts`` do
@@ -21,8 +26,10 @@ Scale
 
 Defined cases
     null or empty text: an empty set, linked with nothing. Fewer words than a shingle: the whole sequence is
-    the one shingle. A null id is linked with nothing and has no component. Repeated rows belong to one class.
-    Other columns are ignored.
+    the one shingle. A text of any length is taken whole. A null id is linked with nothing and has no component.
+    Repeated rows belong to one class. Ties between equally central classes: the greater key, which changes no
+    result. An empty table gives an empty result. Other columns are ignored. ``n_shingles`` counts distinct 64-bit
+    hashes within one document.
 """
 
 from __future__ import annotations
@@ -38,6 +45,7 @@ from pyspark.sql import functions as F
 from . import meeting
 from . import textkit as tk
 from .components import connect
+from .hot import heavy_keys, spread_join
 from .scratch import Scratch, small_batches
 from .texts import chosen, keyed
 
@@ -51,12 +59,12 @@ COMPARE = 0.25
 _STATS = "kind int, doc_id long, th long, n long, key long, guard binary, bits binary, hashes binary, counts binary"
 
 
-def shingles(words: tk.Words, size: int) -> tuple[np.ndarray, list[int]]:
-    """Hashes of every row's shingles, not yet distinct, and the borders of the rows."""
+def shingles(words: tk.Words, size: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """Hashes of every row's shingles, not yet distinct, their first words, and the borders of the rows."""
     counts = words.counts()
     values, at = words.grams(size)
     if not (short := np.flatnonzero((counts > 0) & (counts < size))).size:
-        return values, np.searchsorted(at, words.first).tolist()
+        return values, at, np.searchsorted(at, words.first).tolist()
     parts, places = [values], [at]
     for length in np.unique(counts[short]).tolist():
         more, where = words.grams(length)
@@ -65,22 +73,39 @@ def shingles(words: tk.Words, size: int) -> tuple[np.ndarray, list[int]]:
         places.append(where[mine])
     places = np.concatenate(places)
     order = np.argsort(places, kind="stable")
-    return np.concatenate(parts)[order], np.searchsorted(places[order], words.first).tolist()
+    return np.concatenate(parts)[order], places[order], np.searchsorted(places[order], words.first).tolist()
 
 
-def _rows(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(row, ordered distinct shingles) of a batch of texts."""
-    raw, offsets = tk.flat(batch.column("text"))
+def _blocks(column: pa.Array) -> Iterator[tuple[int, int, tk.Words]]:
+    """(first row, end, words) of the blocks of a batch of texts."""
+    raw, offsets = tk.flat(column)
     for low, high in tk.blocks(offsets):
-        words = tk.Words(raw[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], tk.SPACED, True)
-        values, border = shingles(words, size)
+        yield low, high, tk.Words(raw[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], tk.SPACED, True)
+
+
+def _rows(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, np.ndarray, bytes]]:
+    """(row, ordered distinct shingles, lower-case words joined by one space) of a batch of texts."""
+    for low, high, words in _blocks(batch.column("text")):
+        values, _, border = shingles(words, size)
+        text, ends = words.joined()
+        text = tk.bytes_lower(text)
         for row in range(high - low):
-            yield low + row, np.unique(values[border[row] : border[row + 1]])
+            yield low + row, np.unique(values[border[row] : border[row + 1]]), text[ends[row] : ends[row + 1]]
+
+
+def _key(values: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(values.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def _key(values: np.ndarray, seed: int) -> tuple[int, bytes]:
-    digest = hashlib.blake2b(values.tobytes(), digest_size=24, salt=bytes([seed])).digest()
-    return int.from_bytes(digest[:8], "little", signed=True), digest[8:]
+def _guard(text: bytes) -> bytes:
+    return hashlib.blake2b(text, digest_size=16).digest()
+
+
+def _exact(text: bytes, size: int) -> bytes:
+    """Digest of a set's shingles as words."""
+    words = text.split(b" ")
+    held = {b" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
+    return hashlib.blake2b(b"\n".join(sorted(held)), digest_size=16).digest()
 
 
 def bitmap(values: np.ndarray) -> bytes:
@@ -100,7 +125,7 @@ def most_shared(n: int, a: bytes, m: int, b: bytes) -> int:
     return min(n - int(np.bitwise_count(a & ~b).sum()), m - int(np.bitwise_count(b & ~a).sum()))
 
 
-def _stats(size: int, seed: int):
+def _stats(size: int):
     schema = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("th", pa.int64()), ("n", pa.int64()), ("key", pa.int64()), ("guard", pa.binary()), ("bits", pa.binary()), ("hashes", pa.binary()), ("counts", pa.binary())])
 
     def often(run: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -113,11 +138,11 @@ def _stats(size: int, seed: int):
         pending, waiting, here = [], 0, set()
         for batch in batches:
             n, key, guard, bits = [], [], [], []
-            for _, values in _rows(batch, size):
+            for _, values, text in _rows(batch, size):
                 n.append(len(values))
-                mine, rest = _key(values, seed) if len(values) else (None, None)
+                mine = _key(values) if len(values) else None
                 key.append(mine)
-                guard.append(rest)
+                guard.append(_guard(text) if len(values) else None)
                 bits.append(bitmap(values))
                 if len(values) and mine not in here:
                     here.add(mine)
@@ -180,7 +205,7 @@ _SENT = "bucket long, hashes binary, keys binary, meta binary"
 _POSTINGS = "h long, key long, n int, m int, place int"
 
 
-def _send(size: int, share: tuple[int, int], seed: int, bits: int, frequent):
+def _send(size: int, share: tuple[int, int], bits: int, frequent, moved):
     def out(held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         bucket, hashes, keys, meta = (np.concatenate(x) for x in zip(*held, strict=True))
         order = np.argsort(bucket, kind="stable")
@@ -190,14 +215,16 @@ def _send(size: int, share: tuple[int, int], seed: int, bits: int, frequent):
         yield pa.RecordBatch.from_arrays([pa.array([int(bucket[a]) for a, _ in cuts], pa.int64()), *(pa.array([x[a:b].tobytes() for a, b in cuts], pa.binary()) for x in (hashes, keys, meta))], names=["bucket", "hashes", "keys", "meta"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heavy, counts = frequent.value
+        (heavy, counts), other = frequent.value, moved.value
         held, waiting, here = [], 0, set()
         for batch in batches:
             null = batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)
-            for row, values in _rows(batch, size):
+            for row, values, text in _rows(batch, size):
                 if null[row] or not len(values):
                     continue
-                key, _ = _key(values, seed)
+                key = _key(values)
+                if key in other:
+                    key = other[key].get(_guard(text), key)
                 if key in here:
                     continue
                 here.add(key)
@@ -240,11 +267,22 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(hashes[part]), pa.array(keys[part]), pa.array((meta[part] >> 6 & 0xFFFFFFF).astype(np.int32)), pa.array((meta[part] & 0x3F).astype(np.int32)), pa.array((meta[part] >> 34 & 0xFFFFFFF).astype(np.int32))], names=["h", "key", "n", "m", "place"])
 
 
-def _sets(size: int):
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as lower-case words joined by one space."""
+    for batch in batches:
+        out = []
+        for _, _, words in _blocks(batch.column("text")):
+            text, ends = words.joined()
+            text = tk.bytes_lower(text)
+            out += [text[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("guard"), pa.array(out, pa.binary())], names=["key", "guard", "words"])
+
+
+def _exact_sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [values.tobytes() for _, values in _rows(batch, size)]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(sets, pa.binary())], names=["key", "shingles"])
+            exact = [_exact(x.as_py(), size) for x in batch.column("words")]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("guard"), pa.array(exact, pa.binary())], names=["key", "guard", "exact"])
 
     return run
 
@@ -261,15 +299,53 @@ def _possible(share: tuple[int, int]):
     return run
 
 
-def _verify(share: tuple[int, int]):
+class _Held:
+    """Sets of some texts, by key: hashes in order, and where in the text each shingle stands."""
+
+    def __init__(self, texts: dict[int, bytes], size: int):
+        raw = np.frombuffer(b"".join(texts.values()), dtype=np.uint8)
+        offsets = np.concatenate([[0], np.cumsum([len(x) for x in texts.values()])]).astype(np.int64)
+        words = tk.Words(raw, offsets, tk.SPACED, False)
+        values, at, border = shingles(words, size)
+        last = np.minimum(at + size, words.first[1:][words.row_of(at)]) - 1
+        start, end = words.start[at], words.end[last]
+        self.sets = {}
+        for row, (key, text) in enumerate(texts.items()):
+            part = slice(border[row], border[row + 1])
+            found, first = np.unique(values[part], return_index=True)
+            self.sets[key] = found, start[part][first] - offsets[row], end[part][first] - offsets[row], text
+
+    def links(self, a: int, b: int, share: tuple[int, int]) -> bool:
+        """Do the two sets link, by shingles whose words are equal?"""
+        (x, x_start, x_end, x_text), (y, y_start, y_end, y_text) = self.sets[a], self.sets[b]
+        fits = lambda both: share[1] * both >= share[0] * (len(x) + len(y) - both)
+        _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+        if not fits(len(i)):
+            return False
+        spans = zip(x_start[i].tolist(), x_end[i].tolist(), y_start[j].tolist(), y_end[j].tolist(), strict=True)
+        return fits(sum(x_text[p:q] == y_text[r:s] for p, q, r, s in spans))
+
+
+def _verify(size: int, share: tuple[int, int]):
+    def judged(pairs: list[tuple[int, int]], texts: dict[int, bytes]) -> pa.RecordBatch:
+        held = _Held(texts, size)
+        good = [p for p in pairs if held.links(*p, share)]
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in good], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held = []
-            for left, right in zip(batch.column("left"), batch.column("right"), strict=True):
-                a, b = (np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in (left, right))
-                both = len(a) + len(b) - len(np.unique(np.concatenate([a, b])))
-                held.append(share[1] * both >= share[0] * (len(a) + len(b) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(held, pa.bool_()))
+            pairs, texts, waiting = [], {}, 0
+            for a, b, left, right in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("left"), batch.column("right"), strict=True):
+                pairs.append((a, b))
+                for key, text in ((a, left), (b, right)):
+                    if key not in texts:
+                        texts[key] = text.as_py()
+                        waiting += len(texts[key])
+                if waiting > tk.BLOCK_BYTES:
+                    yield judged(pairs, texts)
+                    pairs, texts, waiting = [], {}, 0
+            if pairs:
+                yield judged(pairs, texts)
 
     return run
 
@@ -282,20 +358,40 @@ class _Join:
         small_batches(self.spark)
         self.scratch = Scratch(self.spark)
         self.rows = keyed(documents, id_col, text_col)
-        for seed in range(8):  # a further seed only if two different sets got one 64-bit key
-            scan = self.scratch.table(self.rows.mapInArrow(_stats(size, seed), _STATS), f"scan{seed}")
-            self.stats = scan.where("kind = 0").select("doc_id", "th", "n", "key", "guard", "bits")
-            of_key = self.stats.where("key is not null").groupBy("key").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "th"))).alias("first"), F.max("n").alias("n"), (F.min("guard") != F.max("guard")).alias("mixed"))
-            self.classes = self.scratch.table(of_key.select("key", "first.doc_id", "first.th", "n", "mixed"), f"classes{seed}")
-            if not self.classes.where("mixed").limit(1).count():
-                break
-        else:
-            raise RuntimeError("different sets share a key under every seed")
-        self.seed, self.frequent = seed, self.spark.sparkContext.broadcast(_frequent(scan))
+        scan = self.scratch.table(self.rows.mapInArrow(_stats(size), _STATS), "scan")
+        self.stats = scan.where("kind = 0").select("doc_id", "th", "n", "key", "guard", "bits")
+        moved = self._moved(self._different("texts"))
+        if moved:
+            held = self.spark.createDataFrame([(k, g, to) for k, of in moved.items() for g, to in of.items()], "key long, guard binary, _to long")
+            self.stats = self.stats.join(F.broadcast(held), ["key", "guard"], "left").withColumn("key", F.coalesce("_to", "key")).select("doc_id", "th", "n", "key", "guard", "bits")
+        different = self._different("texts2") if moved else self.texts
+        firsts = different.groupBy("key").agg(F.min(F.struct("doc_id", "th")).alias("first"), F.max("n").alias("n"))
+        self.classes = self.scratch.table(firsts.select("key", "first.doc_id", "first.th", "n"), "classes")
+        frequent, other = self.spark.sparkContext.broadcast(_frequent(scan)), self.spark.sparkContext.broadcast(moved)
         total = self.classes.agg(F.sum("n")).first()[0] or 0
         tasks = meeting.tasks_for(total * (share[1] - share[0]) // share[1])
-        sent = self.rows.mapInArrow(_send(size, share, seed, meeting.bits_for(tasks), self.frequent), _SENT)
+        sent = self.rows.mapInArrow(_send(size, share, meeting.bits_for(tasks), frequent, other), _SENT)
         self.postings = self.scratch.table(sent.repartition(tasks, "bucket").mapInArrow(_meet, _POSTINGS), "postings")
+        self.common = self.scratch.table(heavy_keys(self.postings, "h"), "common")
+
+    def _different(self, name: str) -> DataFrame:
+        """One row for each key and word sequence."""
+        of = self.stats.where("key is not null and doc_id is not null").groupBy("key", "guard").agg(F.min(F.struct("doc_id", "th")).alias("first"), F.max("n").alias("n"))
+        self.texts = self.scratch.table(of.select("key", "guard", "first.doc_id", "first.th", "n"), name)
+        return self.texts
+
+    def _moved(self, texts: DataFrame) -> dict[int, dict[bytes, int]]:
+        """New keys of the sets that have another set's key, by key and word sequence: none, but for one pair in
+        2**64, so that they go to the driver."""
+        mixed = texts.groupBy("key").count().where("count > 1").select("key")
+        mixed = self.scratch.table(texts.join(mixed, "key", "left_semi").drop("n"), "mixed")
+        words = chosen(self.rows, mixed).dropDuplicates(["key", "guard"]).select("key", "guard", "text").mapInArrow(_texts, "key long, guard binary, words binary")
+        sets = self.scratch.table(words.mapInArrow(_exact_sets(self.size), "key long, guard binary, exact binary"), "exact")
+        wrong = sets.groupBy("key").agg(F.min("exact").alias("_first"), F.max("exact").alias("_last")).where("_first != _last").select("key", "_first")
+        out: dict[int, dict[bytes, int]] = {}
+        for row in sets.join(wrong, "key").where("exact != _first").select("key", "guard", F.xxhash64("key", "exact").alias("to")).collect():
+            out.setdefault(row["key"], {})[bytes(row["guard"])] = row["to"]
+        return out
 
     def _fits(self, a: str, b: str, k: str | None = None) -> str:
         """Sizes that can link, and shingles early enough for it: two sets that link share at least
@@ -307,53 +403,66 @@ class _Join:
         sizes = f"least({a}n, {b}n) * {high}L >= greatest({a}n, {b}n) * {low}L"
         return f"{sizes} and {a}place < {a}n - {least} + {k} and {b}place < {b}n - {least} + {k}"
 
+    def _sides(self, pairs: DataFrame, of: DataFrame, column: str, others: tuple[str, str]) -> DataFrame:
+        """Pairs (a, b, ...) with the columns of either class, ``of`` (key, n, column); neither may be a hub."""
+        for x, other, name, n in (("a", "b", others[0], "n"), ("b", "a", others[1], "m")):
+            pairs = spread_join(pairs, of.select(F.col("key").alias(x), *([F.col("n").alias(n)] if "n" in of.columns else []), F.col(column).alias(name)), x, self.hubs[x], by=other)
+        return pairs
+
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
         """Those pairs (a, b) of classes whose sets link."""
-        maps = self.stats.where("key is not null").join(self.classes.select("key", "doc_id", "th"), ["key", "doc_id", "th"], "left_semi").dropDuplicates(["key"])
-        sides = pairs.join(maps.select(F.col("key").alias("a"), "n", F.col("bits").alias("left")), "a").join(maps.select(F.col("key").alias("b"), F.col("n").alias("m"), F.col("bits").alias("right")), "b")
-        pairs = self.scratch.table(sides.select("a", "b", "n", "left", "m", "right").mapInArrow(_possible(self.share), "a long, b long"), f"{name}-pairs")
+        pairs = self.scratch.table(pairs, f"{name}-met")
+        self.hubs = {x: self.scratch.table(heavy_keys(pairs, x), f"{name}-hubs-{x}") for x in "ab"}
+        maps = self.stats.where("key is not null").join(self.classes.select("key", "doc_id", "th"), ["key", "doc_id", "th"], "left_semi").dropDuplicates(["key"]).select("key", "n", "bits")
+        sides = self._sides(pairs, maps, "bits", ("left", "right")).select("a", "b", "n", "left", "m", "right")
+        pairs = self.scratch.table(sides.mapInArrow(_possible(self.share), "a long, b long"), f"{name}-pairs")
         nodes = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-        firsts = self.classes.join(nodes, "key", "left_semi").select("key", "doc_id", "th")
-        sets = chosen(self.rows, firsts).dropDuplicates(["key"]).select("key", "text").mapInArrow(_sets(self.size), "key long, shingles binary")
-        sets = self.scratch.table(sets, f"{name}-sets")
-        sides = pairs.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b")
-        links = self.scratch.table(sides.select("a", "b", "left", "right").mapInArrow(_verify(self.share), "a long, b long"), f"{name}-links")
-        self.scratch.drop(f"{name}-sets")
+        firsts = self.scratch.table(self.classes.join(nodes, "key", "left_semi").select("key", "doc_id", "th"), f"{name}-firsts")
+        words = chosen(self.rows, firsts).dropDuplicates(["key"]).select("key", F.lit(None).cast("binary").alias("guard"), "text").mapInArrow(_texts, "key long, guard binary, words binary")
+        words = self.scratch.table(words.drop("guard"), f"{name}-words")
+        sides = self._sides(pairs, words, "words", ("left", "right")).select("a", "b", "left", "right")
+        links = self.scratch.table(sides.mapInArrow(_verify(self.size, self.share), "a long, b long"), f"{name}-links")
+        self.scratch.drop(f"{name}-words")
         return links
 
     def stars(self) -> DataFrame:
-        """Each class with the most central of the classes it shares a prefix shingle with, the one it shares most with."""
+        """Each class with the most central of the classes whose prefix meets its own often enough, the one it shares
+        most with."""
         shared = self.postings.groupBy("key").agg(F.count("*").alias("met"), F.first("n").alias("n"))
         centre = shared.select("key", (F.col("met") / F.col("n")).alias("central"))
         best = self.postings.join(centre, "key").groupBy("h").agg(F.max(F.struct("central", "key", "n", "m", "place")).alias("best"))
-        met = self.postings.join(best, "h").where(f"key != best.key and {self._fits('', 'best.')}")
-        each = met.groupBy("key", F.col("best.key").alias("centre"), F.col("best.central").alias("central")).count()
-        return each.groupBy("key").agg(F.max(F.struct("count", "central", "centre")).alias("best")).select(F.col("key").alias("a"), F.col("best.centre").alias("b"))
+        met = spread_join(self.postings, best, "h", self.common, by="key").where(f"key != best.key and {self._fits('', 'best.')}")
+        each = met.groupBy("key", F.col("best.key").alias("centre"), F.col("best.central").alias("central")).agg(F.count("*").alias("count"), F.first(F.least("m", "best.m")).alias("asked"))
+        return each.where("count >= asked").groupBy("key").agg(F.max(F.struct("count", "central", "centre")).alias("best")).select(F.col("key").alias("a"), F.col("best.centre").alias("b"))
+
+    def _often_enough(self, pairs: DataFrame, name: str) -> DataFrame:
+        """Pairs (a, b, m) whose prefixes share m shingles at least."""
+        pairs = self.scratch.table(pairs, f"{name}-first")
+        nodes = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+        held = self.postings.join(nodes, "key", "left_semi").groupBy("key").agg(F.collect_list("h").alias("hs"))  # no longer than a document
+        self.hubs = {x: self.scratch.table(heavy_keys(pairs, x), f"{name}-first-hubs-{x}") for x in "ab"}
+        return self._sides(pairs, held, "hs", ("left", "right")).where("size(array_intersect(left, right)) >= m").select("a", "b")
 
     def across(self, roots: DataFrame) -> DataFrame:
         """All candidate pairs of classes that aren't connected yet."""
         placed = self.postings.join(roots.toDF("key", "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
         parts = placed.groupBy("h", "root").count().groupBy("h").agg(F.count("*").alias("parts"), F.max(F.struct("count", "root")).alias("main")).where("parts > 1").select("h", F.col("main.root").alias("main"))
-        placed = self.scratch.table(placed.join(parts, "h"), "placed")
+        placed = self.scratch.table(spread_join(placed, parts, "h", self.common, by="key"), "placed")
         # one side of a pair is outside the list's main component, so pairs inside that are never formed
         left = placed.where("root != main").select("h", F.col("key").alias("x"), F.col("root").alias("x_root"), *(F.col(c).alias(f"x_{c}") for c in ("n", "m", "place")))
         right = placed.select("h", F.col("key").alias("y"), F.col("root").alias("y_root"), *(F.col(c).alias(f"y_{c}") for c in ("n", "m", "place")), "main")
         # the first shingle that a pair shares stands in either's prefix for one match, where the rare ones are ...
-        met = left.join(right, "h").where(f"x_root != y_root and (y_root = main or x < y) and {self._fits('x_', 'y_', '1')}")
+        met = spread_join(right, left, "h", self.common, by="y").where(f"x_root != y_root and (y_root = main or x < y) and {self._fits('x_', 'y_', '1')}")
         pairs = met.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.first(F.least("x_m", "y_m")).alias("m"))
         # ... and the whole prefixes must share as many as the match asks for
-        held = self.postings.groupBy("key").agg(F.collect_list("h").alias("hs"))  # no longer than a document
-        sides = pairs.join(held.toDF("a", "left"), "a").join(held.toDF("b", "right"), "b")
-        return sides.where("size(array_intersect(left, right)) >= m").select("a", "b")
+        return self._often_enough(pairs, "across")
 
     def met(self) -> DataFrame:
         """All candidate pairs of classes, connected or not."""
         left, right = (self.postings.select("h", F.col("key").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in ("n", "m", "place"))) for x in "xy")
-        met = left.join(right, "h").where(f"x < y and {self._fits('x_', 'y_', '1')}")
+        met = spread_join(right, left, "h", self.common, by="y").where(f"x < y and {self._fits('x_', 'y_', '1')}")
         pairs = met.groupBy(F.col("x").alias("a"), F.col("y").alias("b")).agg(F.first(F.least("x_m", "y_m")).alias("m"))
-        held = self.postings.groupBy("key").agg(F.collect_list("h").alias("hs"))  # no longer than a document
-        sides = pairs.join(held.toDF("a", "left"), "a").join(held.toDF("b", "right"), "b")
-        return sides.where("size(array_intersect(left, right)) >= m").select("a", "b")
+        return self._often_enough(pairs, "all")
 
     def all_links(self) -> DataFrame:
         """Every link (a, b) of different classes, a < b."""
@@ -369,14 +478,20 @@ class _Join:
         """(key, root, component_id) of every class; root tells components apart that have the same least id."""
         roots = connect(self.links())
         joined = self.classes.select("key", "doc_id").join(roots.toDF("key", "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+        joined = self.scratch.table(joined, "joined")
         least = joined.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-        return joined.select("key", "root").join(least, "root").select("key", "root", "component_id")
+        return spread_join(joined.select("key", "root"), least, "root", heavy_keys(joined, "root"), by="key").select("key", "root", "component_id")
+
+    def with_keys(self, of: DataFrame, how: str = "left") -> DataFrame:
+        """Documents' stats joined with a table by key; copies of a text share a key."""
+        stats = self.stats.select("doc_id", "th", "n", "key", "guard")
+        return spread_join(stats, of, "key", heavy_keys(stats.where("key is not null"), "key"), how, by="doc_id")
 
 
 def link(documents: DataFrame, *, size: int = 5, share: tuple[int, int] = (75, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, th (hash of its text), n_shingles and component_id, the least id reachable by links."""
     join = _Join(documents, size, share, id_col, text_col)
-    met = join.stats.select("doc_id", "th", "n", "key").join(join.components(), "key", "left")
+    met = join.with_keys(join.components())
     alone = F.when(F.col("key").isNull(), F.col("doc_id"))
     return met.select("doc_id", "th", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", alone, "doc_id")).alias("component_id"))
 
@@ -407,20 +522,22 @@ def link_counts(documents: DataFrame, *, size: int = 5, share: tuple[int, int] =
     ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     near = ends.join(copies.toDF("b", "copies"), "b").groupBy(F.col("a").alias("key")).agg(F.sum("copies").alias("near"))
     of = copies.join(near, "key", "left").select("key", (F.col("copies") - 1).alias("same"), F.coalesce("near", F.lit(0)).alias("near"))
-    met = join.stats.select("doc_id", "th", "n", "key").join(of, "key", "left")
+    met = join.with_keys(of)
     counted = lambda c: F.when(F.col("doc_id").isNotNull(), F.coalesce(c, F.lit(0)).cast("long"))
     return met.select("doc_id", "th", F.col("n").alias("n_shingles"), counted(F.col("same")).alias("n_copies"), counted(F.col("same") + F.col("near")).alias("n_links"))
 
 
 def keep_one(documents: DataFrame, *, size: int = 5, share: tuple[int, int] = (75, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents with all their columns, one row of each component: that of the least id, then text hash, then one
-    of equal rows. Rows without words stay; rows without an id are one group for each set of shingles."""
+    of equal rows. Rows without words stay; rows without an id are one group for each sequence of words."""
     join = _Join(documents, size, share, id_col, text_col)
     none = F.col("doc_id").isNull()
-    rows = join.stats.where("key is not null").groupBy("key", "doc_id", "th").agg(F.count("*").alias("rows"))
-    rows = rows.join(join.components().select("key", "root"), "key").select("doc_id", "th", "rows", none.alias("none"), F.when(none, F.col("key")).otherwise(F.col("root")).alias("group"))
-    first = rows.groupBy("group", "none").agg(F.min(F.struct("doc_id", "th")).alias("first"))
-    judged = rows.join(first, ["group", "none"]).withColumn("kept", F.struct("doc_id", "th").eqNullSafe(F.col("first")))
+    group = F.when(none, F.hex("guard")).otherwise(F.hex("root"))
+    rows = join.with_keys(join.components().select("key", "root")).where("key is not null")
+    rows = join.scratch.table(rows.groupBy("doc_id", "th", group.alias("group")).agg(F.count("*").alias("rows")), "rows")
+    first = rows.groupBy("group", none.alias("none")).agg(F.min(F.struct("doc_id", "th")).alias("first")).select(F.struct("group", "none").alias("group"), "first")
+    dealt = rows.select("doc_id", "th", "rows", F.struct("group", none.alias("none")).alias("group"))
+    judged = spread_join(dealt, first, "group", heavy_keys(dealt, "group")).withColumn("kept", F.struct("doc_id", "th").eqNullSafe(F.col("first")))
     judged = join.scratch.table(judged.where("not kept or rows > 1").select(F.col("doc_id").alias("__id"), F.col("th").alias("__hash"), "kept"), "judged")
     gone, several = judged.where("not kept").drop("kept"), judged.where("kept").drop("kept")
     mark = documents.select("*", F.col(id_col).cast("long").alias("__me"), F.xxhash64(F.col(text_col).cast("string")).alias("__mine"))

@@ -106,3 +106,37 @@ def test_query_against_brute_force(spark, data):
     found = rows(q.op8_jaccard_join(spark, data))
     assert found == sorted(brute.jaccard(docs), key=str)
     assert any(r[0] != r[2] for r in found)
+
+
+def test_long_words_that_polynomials_confuse(spark):
+    word = "".join("ab"[bin(i).count("1") & 1] for i in range(2048))
+    docs = [(1, f"{word} q r s t"), (2, f"{word.translate(str.maketrans('ab', 'ba'))} q r s t"), (3, f"q {word * 3} r s t")]
+    assert rows(j.link(spark.createDataFrame(docs, "doc_id long, text string"))) == sorted(brute.jaccard(docs), key=str)
+
+
+def test_sets_that_get_one_key(spark, monkeypatch):
+    """Keys of small sets are made to collide: sets are told apart by their words all the same."""
+    key = j._key
+    monkeypatch.setattr(j, "_key", lambda values: len(values) if len(values) < 5 else key(values))
+    docs = [*made(), *((500 + i, f"{'abcd'[i % 4]} e") for i in range(12)), *((520 + i, f"a b c d e {'fgh'[i % 3]}") for i in range(6)), (530, "f a b c d e f a b c d e"), (531, "a b c d e f a b c d e f")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert rows(j.link(frame)) == sorted(brute.jaccard(docs), key=str)
+
+
+def test_links_compare_words(spark):
+    """A link counts shingles by their words, whatever their hashes."""
+    held = j._Held({1: b"a b c d e f", 2: b"a b c d e g"}, 5)
+    assert not held.links(1, 2, (75, 100))
+    assert held.links(1, 1, (75, 100))
+    found, start, end, text = held.sets[2]
+    held.sets[2] = held.sets[1][0], start, end, text  # as if every hash were equal
+    assert not held.links(1, 2, (75, 100))
+
+
+def test_groups_over_many_parts(spark, monkeypatch):
+    from gridloom.llm import hot
+
+    monkeypatch.setattr(hot, "LEAST_ROWS", 3)
+    docs = [*made(7), *((600 + i, "one text that many documents hold") for i in range(60))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert rows(j.link(frame)) == sorted(brute.jaccard(docs), key=str)
