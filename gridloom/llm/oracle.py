@@ -32,7 +32,7 @@ r(x, y) AS (SELECT rid, rid FROM d UNION SELECT r.x, l.y FROM r JOIN l ON r.y =
 SELECT a.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(b.doc_id) AS component_id FROM r JOIN d a ON a.rid = r.x JOIN d b ON b.rid = r.y LEFT JOIN n ON n.rid = r.x GROUP BY a.rid, a.doc_id, n.n"""
 
 DECONTAMINATION = rf"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM documents),
-b AS (SELECT item_id::VARCHAR AS item, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM benchmark WHERE item_id IS NOT NULL),
+b AS (SELECT item_id::VARCHAR AS item, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM benchmark),
 bw AS (SELECT DISTINCT item, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS win FROM b, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS u(i) WHERE len(w) > 0),
 z AS (SELECT DISTINCT n FROM bw),
 dw AS (SELECT rid, i, n, array_to_string(w[i:i + n - 1], ' ') AS win FROM d, z, unnest(range(1, len(w) - n + 2)) AS u(i) WHERE len(w) >= n),

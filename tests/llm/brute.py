@@ -20,7 +20,7 @@ def decontaminate(documents, benchmark, length=10):
     for name, text in benchmark:
         words = ALNUM.findall(lower(text))
         size = min(length, len(words))
-        items.append((str(name), {tuple(words[i : i + size]) for i in range(len(words) - size + 1)} if words else set()))
+        items.append((None if name is None else str(name), {tuple(words[i : i + size]) for i in range(len(words) - size + 1)} if words else set()))
     sizes = {len(w) for _, ws in items for w in ws}
     out = []
     for doc_id, text in documents:
@@ -33,6 +33,7 @@ def decontaminate(documents, benchmark, length=10):
                 if holders:
                     names.update(holders)
                     hit.update(range(i, i + size))
+        names.discard(None)
         out.append((doc_id, len(words), len(hit), len(names), sha(",".join(sorted(names))), bool(hit)))
     return out
 
