@@ -5,12 +5,15 @@ short parts between bars or arrows), as boilerplate (fixed phrases), or if symbo
 lines go; a document goes if it is too short, repeats itself, or loses too much of its text with the lines.
 
 Everything is one projection over the row: no shuffle, no explode, no Python. Repeated three-word windows are
-found by sorting packed (hash, position) longs, so a text costs n log n however often it repeats itself.
+found by sorting packed (hash, position) longs, so a text costs n log n however often it repeats itself. Windows
+that meet there have their words compared; where a hash brought different ones together, the windows that met are
+sorted again by their words.
 
 Defined cases
     null or empty text: no words, no lines; it fails the base rules (fewer than ``min_words`` words). Null ids
-    and repeated rows are judged like any other row. Texts of any length are judged whole. ``judge`` ignores
-    other columns; ``clean`` passes them through.
+    and repeated rows are judged like any other row. Texts of any length are judged whole, in n log n. Ties: shares
+    equal to a limit pass. An empty table gives an empty result. ``judge`` ignores other columns; ``clean`` passes
+    them through.
 """
 
 from __future__ import annotations
@@ -29,6 +32,10 @@ NAVIGATION = r"([|\x{00BB}\x{203A}\x{2022}][^|\x{00BB}\x{203A}\x{2022}]*){3}"
 BOILERPLATE = r"(?i)(all rights reserved|privacy policy|terms of (use|service)|cookie policy|accept cookies|licensed under|click here|read more|sign in|log in|subscribe (now|to)|enable javascript|skip to content|follow us on|share on)"
 
 
+#: Hash that brings equal windows together.
+_MEET = F.xxhash64
+
+
 def line_fails(line: Column, max_symbol_percent: int = 10) -> Column:
     """Does one line fail? Its symbols count against its length in code points."""
     return (
@@ -45,23 +52,40 @@ def lines_with_words(text: Column) -> Column:
 
 def _repeat_words(held: Column) -> Column:
     """Words of an array that lie in three-word windows found twice or more."""
+    return bind(held, _repeats)
+
+
+def _repeats(held: Column) -> Column:
     n = F.size(held)
     bits = F.length(F.bin(n))  # of a position
     low = F.expr("9223372036854775807L")
 
     def packed(parts: Column, shift: Column) -> Column:
         mask = F.call_function("shiftright", low, shift)
-        hashed = F.transform(parts, lambda word, i: F.call_function("shiftleft", F.xxhash64(word, F.get(parts, i + 1), F.get(parts, i + 2)).bitwiseAND(mask), shift).bitwiseOR(i.cast("long")))
+        hashed = F.transform(parts, lambda word, i: F.call_function("shiftleft", _MEET(word, F.get(parts, i + 1), F.get(parts, i + 2)).bitwiseAND(mask), shift).bitwiseOR(i.cast("long")))
         return F.sort_array(F.slice(hashed, 1, F.greatest(F.size(parts) - 2, F.lit(0))))
 
-    def covered(order: Column, shift: Column) -> Column:
+    def window(at: Column) -> Column:
+        return F.struct(*(F.get(held, at + k).alias(f"w{k}") for k in range(3)))
+
+    def near(values: Column, same) -> Column:
+        """Values that are the same as the one before or after."""
+        return F.filter(values, lambda x, j: F.coalesce(same(x, F.get(values, j - 1)), F.lit(False)) | F.coalesce(same(x, F.get(values, j + 1)), F.lit(False)))
+
+    def covered(again: Column, shift: Column) -> Column:
         of = lambda x: F.call_function("shiftright", x, shift)
-        again = F.filter(order, lambda x, j: F.coalesce(of(x) == of(F.get(order, j - 1)), F.lit(False)) | F.coalesce(of(x) == of(F.get(order, j + 1)), F.lit(False)))
         keep = F.call_function("shiftleft", F.lit(1).cast("long"), shift) - 1
-        places = F.sort_array(F.transform(again, lambda x: x.bitwiseAND(keep)))
-        return bind(places, lambda at: total(F.transform(at, lambda x, j: F.least(F.lit(3).cast("long"), F.coalesce(x - F.get(at, j - 1), F.lit(3).cast("long"))))))
+        at = lambda x: x.bitwiseAND(keep).cast("int")
+        mixed = F.filter(again, lambda x, j: F.coalesce((of(x) == of(F.get(again, j - 1))) & (window(at(x)) != window(at(F.get(again, j - 1)))), F.lit(False)))
+        by_words = bind(F.sort_array(F.transform(again, lambda x: F.struct(window(at(x)).alias("w"), at(x).alias("at")))), lambda order: F.transform(near(order, lambda x, y: x["w"] == y["w"]), lambda x: x["at"]))
+        places = F.sort_array(F.when(F.size(mixed) > 0, by_words).otherwise(F.transform(again, at)))
+        return bind(places, lambda p: total(F.transform(p, lambda x, j: F.least(F.lit(3).cast("long"), F.coalesce((x - F.get(p, j - 1)).cast("long"), F.lit(3).cast("long"))))))
+
+    def counted(order: Column, shift: Column) -> Column:
+        met = near(order, lambda x, y: F.call_function("shiftright", x, shift) == F.call_function("shiftright", y, shift))
+        return bind(met, lambda again: F.when(F.size(again) == 0, F.lit(0).cast("long")).otherwise(covered(again, shift)))
 
-    return F.when(n < 4, F.lit(0).cast("long")).otherwise(bind(bits, lambda shift: bind(held, lambda parts: bind(packed(parts, shift), lambda order: covered(order, shift)))))
+    return F.when(n < 4, F.lit(0).cast("long")).otherwise(bind(bits, lambda shift: bind(packed(held, shift), lambda order: counted(order, shift))))
 
 
 def judge(documents: DataFrame, *, min_words: int = 50, max_repeat_percent: int = 50, max_lost_percent: int = 50, max_symbol_percent: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
