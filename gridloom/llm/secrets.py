@@ -46,6 +46,8 @@ ALLOWED = (
 )
 MARK = "[SECRET]"
 CHUNK = 512
+#: Windows of a run that are taken at a time.
+STRETCH = 256
 _SPANS = "array<struct<start:int,end:int,text:string>>"
 
 
@@ -73,28 +75,42 @@ def _placed(text: Column, pattern: str, measured: int) -> Column:
     return F.coalesce(F.when(text.rlike(pattern), bind(zipped, spans)).otherwise(empty), F.array().cast(_SPANS))
 
 
-def _peak(run: Column, alphabet: str, window: int) -> Column:
-    """Greatest entropy, in bits per character, of the windows of a run."""
-    place = lambda at: F.instr(F.lit(alphabet), run.substr(at, F.lit(1)))
+def _reaches(run: Column, alphabet: str, window: int, bits: float) -> Column:
+    """Does some window of a run have that entropy, in bits per character?
+
+    The counts of a window's characters are packed in a few longs. A step changes two of them, that of the character
+    which comes and that of the one which goes, whatever the alphabet. Windows are taken in stretches, and no
+    stretch is begun after one that has such a window.
+    """
+    width = window.bit_length()
+    held = 62 // width
     weight = lambda c: F.when(c > 1, c * F.log2(c)).otherwise(F.lit(0.0))
 
-    def step(acc: Column, i: Column) -> Column:
-        come, gone = place(i), F.when(i > window, place(i - window)).otherwise(F.lit(-1))
+    def searched(places: Column) -> Column:
+        def step(acc: Column, i: Column) -> Column:
+            return bind(F.struct(F.get(places, i).alias("come"), F.get(places, F.when(i >= acc["first"] + window, i - window)).alias("gone")), lambda ends: moved(acc, ends["come"], ends["gone"], i))
+
+        def moved(acc: Column, come: Column, gone: Column, i: Column) -> Column:
+            count = lambda x: F.call_function("shiftright", F.get(acc["counts"], x["slot"]), x["shift"]).bitwiseAND(F.lit((1 << width) - 1).cast("long")).cast("double")
+            one = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x["shift"])
+            same = F.coalesce((come["slot"] == gone["slot"]) & (come["shift"] == gone["shift"]), F.lit(False))
+            less = F.when(gone.isNull(), F.lit(0.0)).otherwise(bind(count(gone), lambda c: weight(c - 1) - weight(c)))
+            more = bind(count(come), lambda c: weight(c + 1) - weight(c))
+            total = F.when(same, acc["sum"]).otherwise(acc["sum"] + less + more)
+            counts = F.when(same, acc["counts"]).otherwise(F.transform(acc["counts"], lambda c, k: c + F.when(k == come["slot"], one(come)).otherwise(F.lit(0).cast("long")) - F.when(F.coalesce(k == gone["slot"], F.lit(False)), one(gone)).otherwise(F.lit(0).cast("long"))))
+            entropy = F.when(i >= acc["first"] + window - 1, F.lit(math.log2(window)) - total / window).otherwise(F.lit(0.0))
+            return F.struct(acc["first"].alias("first"), counts.alias("counts"), total.alias("sum"), F.greatest(acc["peak"], entropy).alias("peak"))
 
-        def moved(ends: Column) -> Column:
-            come, gone = ends["come"], ends["gone"]
-            less = F.when(gone < 0, F.lit(0.0)).otherwise(F.get(acc["counts"], gone).cast("double"))
-            fewer = acc["sum"] - weight(less) + weight(less - 1)
-            more = (F.get(acc["counts"], come) - F.when(come == gone, 1).otherwise(0)).cast("double")
-            total = fewer - weight(more) + weight(more + 1)
-            counts = F.transform(acc["counts"], lambda c, k: c + F.when(k == come, 1).otherwise(0) - F.when(k == gone, 1).otherwise(0))
-            bits = F.when(i >= window, F.lit(math.log2(window)) - total / window).otherwise(F.lit(0.0))
-            return F.struct(counts.alias("counts"), total.alias("sum"), F.greatest(acc["peak"], bits).alias("peak"))
+        def peak(first: Column) -> Column:
+            start = F.struct(first.alias("first"), F.array_repeat(F.lit(0).cast("long"), -(-len(alphabet) // held)).alias("counts"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("peak"))
+            last = F.least(first + STRETCH + window - 2, F.size(places) - 1)
+            return F.aggregate(F.sequence(first, last), start, step)["peak"]
 
-        return bind(F.struct(come.alias("come"), gone.alias("gone")), moved)
+        stretches = F.sequence(F.lit(0), F.floor((F.size(places) - window) / STRETCH).cast("int"))
+        return F.exists(stretches, lambda k: F.round(peak(k * STRETCH), 9) >= bits)
 
-    start = F.struct(F.array_repeat(F.lit(0), len(alphabet) + 1).alias("counts"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("peak"))
-    return F.aggregate(F.sequence(F.lit(1), F.length(run)), start, step)["peak"]
+    place = lambda c: bind(F.instr(F.lit(alphabet), c) - 1, lambda at: F.struct(F.floor(at / held).cast("int").alias("slot"), (at % held * width).alias("shift")))
+    return bind(F.transform(F.split(run, ""), place), searched)
 
 
 def _candidates(text: Column, base: Column, alphabet: str, bits: float, window: int, allowed: tuple[str, ...]) -> Column:
@@ -107,7 +123,7 @@ def _candidates(text: Column, base: Column, alphabet: str, bits: float, window:
         for rule in allowed:
             fine &= ~run.rlike(rule)
         apart = ~F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
-        return F.when(fine & apart, F.round(_peak(run, alphabet, window), 9) >= bits).otherwise(F.lit(False))
+        return F.when(fine & apart, _reaches(run, alphabet, window, bits)).otherwise(F.lit(False))
 
     return F.filter(_placed(text, pattern, window), good)
 

@@ -98,3 +98,28 @@ def test_secret_query(spark, data):
     docs = [tuple(r) for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()]
     found = q.op4_secret_scan(spark, data)
     assert rows(found.drop("spans")) == sorted(brute.secrets(docs), key=str)
+
+
+def test_repeats_when_hashes_meet(spark, monkeypatch):
+    """All windows get one of three hashes: they are told apart by their words."""
+    monkeypatch.setattr(l, "_MEET", lambda a, *rest: (s.F.length(a) % 3).cast("long"))
+    docs = texts(4)
+    assert rows(l.judge(spark.createDataFrame(docs, "doc_id long, text string")).select(*QUALITY)) == sorted(brute.quality(docs), key=str)
+
+
+def test_three_million_different_words(spark):
+    docs = [(1, " ".join(map(str, range(3_000_000)))), (2, " ".join(f"{k % 200_000}" for k in range(400_000)))]
+    frame = spark.createDataFrame([(1,), (2,)], "doc_id long").selectExpr("doc_id", "if(doc_id = 1, array_join(sequence(0, 2999999), ' '), array_join(transform(sequence(0, 399999), x -> x % 200000), ' ')) as text")
+    assert {r.doc_id: (r.n_words, r.n_repeat_words) for r in l.judge(frame).collect()} == {k: (len(t.split()), 0 if k == 1 else 400_000) for k, t in docs}
+
+
+def test_long_runs_take_linear_time(spark):
+    """A run of a million characters without a window of the entropy asked for, and one with it at its end."""
+    import time
+
+    low = "a1b2" * 250_000
+    frame = spark.createDataFrame([(1,), (2,)], "doc_id long").selectExpr("doc_id", "concat('x ', repeat('a1b2', 250000), if(doc_id = 2, 'Zx9Qw8Er7Ty6Ui5Op4As3', '')) as text")
+    began = time.perf_counter()
+    found = {r.doc_id: [(x.start, x.kind, x.end) for x in r.spans if x.kind != "hex"] for r in s.scan(frame, allowed=()).collect()}
+    assert found == {1: [], 2: []} or found == {1: [], 2: [(2, "entropy_base64", 2 + len(low) + 21)]}
+    assert time.perf_counter() - began < 60
