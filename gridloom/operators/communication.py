@@ -36,7 +36,7 @@ def pair_scores(layer: DataFrame, obs: DataFrame, group: str, pairs: DataFrame,
     right = spread.select(F.col(group).alias("target"), F.col("gene_id").alias("receptor"), F.col("mean").alias("r"), F.col("weight").alias("rw"))
     met = left.join(F.broadcast(pairs), "ligand").join(right, "receptor").crossJoin(F.broadcast(overall))
     root = F.sqrt(F.col("l") * F.col("r"))
-    return met.select("source", "target", "ligand", "receptor", ((F.col("l") + F.col("r")) / 2).alias("lr_means"), (F.col("l") * F.col("r")).alias("expr_prod"), (F.col("lw") * F.col("rw")).alias("spec_weight"), (root / (root + F.col("mu"))).alias("lrscore"))
+    return met.select("source", "target", "ligand", "receptor", ((F.col("l") + F.col("r")) / 2).alias("lr_means"), (F.col("l") * F.col("r")).alias("expr_prod"), (F.col("lw") * F.col("rw")).alias("spec_weight"), F.try_divide(root, root + F.col("mu")).alias("lrscore"))
 
 
 #: The methods that are aggregated where none are named.

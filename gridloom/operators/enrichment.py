@@ -26,7 +26,8 @@ def univariate(matrix: DataFrame, net: DataFrame, group: str) -> DataFrame:
     """t-value of the slope of values on weights over all genes of the matrix, genes outside a set as weight 0.
 
     From the sums of a source's targets and of all genes alone; the dense gene x source grid isn't formed.
-    ``matrix`` (group, gene_id, value) is dense: every gene in every group.
+    ``matrix`` (group, gene_id, value) is dense: every gene in every group. Sets or values that don't vary, and a
+    perfect fit, have no t-value and no row.
     """
     every = matrix.groupBy(group).agg(F.count("*").cast("double").alias("n"), F.sum("value").alias("sy"), F.sum(F.col("value") * F.col("value")).alias("syy"))
     part = _met(matrix, net, group).groupBy(group, "source").agg(F.sum("weight").alias("sx"), F.sum(F.col("weight") * F.col("weight")).alias("sxx"), F.sum(F.col("weight") * F.col("value")).alias("sxy"))
@@ -34,8 +35,9 @@ def univariate(matrix: DataFrame, net: DataFrame, group: str) -> DataFrame:
     xy = F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")
     xx = F.col("sxx") - F.col("sx") * F.col("sx") / F.col("n")
     yy = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
-    r = xy / F.sqrt(xx * yy)
-    return met.select(group, "source", (r * F.sqrt((F.col("n") - 2) / ((1.0 - r) * (1.0 + r)))).alias("score"))
+    r = F.try_divide(xy, F.sqrt(F.greatest(xx * yy, F.lit(0.0))))
+    t = r * F.sqrt(F.try_divide(F.col("n") - 2, (1.0 - r) * (1.0 + r)))
+    return met.select(group, "source", t.alias("score")).where("score is not null and not isnan(score)")
 
 
 def aucell(matrix: DataFrame, net: DataFrame, group: str, top: int) -> DataFrame:
@@ -45,7 +47,7 @@ def aucell(matrix: DataFrame, net: DataFrame, group: str, top: int) -> DataFrame
     size = net.groupBy("source").agg(F.count("*").alias("k"))
     hit = ranked.join(F.broadcast(net.select(F.col("target").alias("gene_id"), "source")), "gene_id").groupBy(group, "source").agg(F.sum(F.lit(top) - F.col("_rank") + 1).alias("area"))
     m = F.least("k", F.lit(top))
-    return hit.join(F.broadcast(size), "source").select(group, "source", (F.col("area") / (m * top - m * (m - 1) / 2)).alias("score"))
+    return hit.join(F.broadcast(size), "source").select(group, "source", F.try_divide(F.col("area").cast("double"), m * top - m * (m - 1) / 2).alias("score"))
 
 
 def consensus(scores: DataFrame, group: str, methods: int) -> DataFrame:
@@ -62,15 +64,17 @@ def running_sum(stats: DataFrame, net: DataFrame, group: str, low: int = 10, hig
     """Preranked enrichment: the greatest deviation of the running sum, weights |stat|, and the leading edge's size.
 
     Genes are ranked by stat descending (ties: gene id). Between hits the sum falls linearly, so only its
-    values at and just before hits matter: the windows run over a set's genes, not over genes x sets.
+    values at and just before hits matter: the windows run over a set's genes, not over genes x sets. A set that
+    covers the whole list, or whose genes all have stat 0, has no running sum and no row.
     """
     order = Window.partitionBy(group).orderBy(F.desc("stat"), "gene_id")
     ranked = stats.withColumn("_rank", F.row_number().over(order)).withColumn("_n", F.count("*").over(Window.partitionBy(group)))
     hits = ranked.join(F.broadcast(net.select(F.col("target").alias("gene_id"), "source").distinct()), "gene_id")
     by = Window.partitionBy(group, "source")
     upto = by.orderBy("_rank").rowsBetween(Window.unboundedPreceding, 0)
-    sized = hits.withColumn("_k", F.count("*").over(by)).where((F.col("_k") >= low) & (F.col("_k") <= high))
+    sized = hits.withColumn("_k", F.count("*").over(by)).where((F.col("_k") >= low) & (F.col("_k") <= high) & (F.col("_k") < F.col("_n")))
     weighted = sized.withColumn("_w", F.sum(F.abs("stat")).over(by)).withColumn("_c", F.sum(F.abs("stat")).over(upto)).withColumn("_i", F.row_number().over(by.orderBy("_rank")))
+    weighted = weighted.where("_w > 0")
     miss = (F.col("_rank") - F.col("_i")) / (F.col("_n") - F.col("_k"))
     at = F.col("_c") / F.col("_w") - miss
     before = (F.col("_c") - F.abs("stat")) / F.col("_w") - miss
@@ -114,4 +118,4 @@ def module_score(layer: DataFrame, obs: DataFrame, module: list[str], *, bins: i
     genes = binned.where(mine).select("gene_id", F.lit(1).alias("_in")).unionByName(drawn)
     sizes = genes.agg(F.sum("_in").alias("_a"), F.sum(1 - F.col("_in")).alias("_b"))
     sums = layer.join(F.broadcast(genes), "gene_id").groupBy("cell_id").agg(F.sum(F.when(F.col("_in") == 1, F.col("value")).otherwise(0.0)).alias("_x"), F.sum(F.when(F.col("_in") == 0, F.col("value")).otherwise(0.0)).alias("_y"))
-    return obs.select("cell_id").join(sums, "cell_id", "left").crossJoin(F.broadcast(sizes)).select("cell_id", (F.coalesce("_x", F.lit(0.0)) / F.col("_a") - F.coalesce(F.try_divide(F.coalesce("_y", F.lit(0.0)), F.col("_b")), F.lit(0.0))).alias("score"))
+    return obs.select("cell_id").join(sums, "cell_id", "left").crossJoin(F.broadcast(sizes)).select("cell_id", (F.coalesce(F.try_divide(F.coalesce("_x", F.lit(0.0)), F.col("_a")), F.lit(0.0)) - F.coalesce(F.try_divide(F.coalesce("_y", F.lit(0.0)), F.col("_b")), F.lit(0.0))).alias("score"))

@@ -149,7 +149,7 @@ def variable_genes(layer: DataFrame, obs: DataFrame, n_top: int, bins: int = 5)
     n = F.broadcast(obs.agg(F.count("*").cast("double").alias("_n")))
     part = layer.groupBy("gene_id").agg(F.sum("value").alias("_s"), F.sum(F.col("value") * F.col("value")).alias("_ss")).crossJoin(n)
     mean = F.col("_s") / F.col("_n")
-    part = part.select("gene_id", mean.alias("mean"), ((F.col("_ss") - F.col("_n") * mean * mean) / (F.col("_n") - 1)).alias("variance")).where("mean > 0").withColumn("dispersion", F.col("variance") / F.col("mean"))
+    part = part.select("gene_id", mean.alias("mean"), F.try_divide(F.col("_ss") - F.col("_n") * mean * mean, F.col("_n") - 1).alias("variance")).where("mean > 0").withColumn("dispersion", F.col("variance") / F.col("mean"))
     ranked = part.withColumn("bin", F.ntile(bins).over(Window.partitionBy(F.lit(0)).orderBy("mean", "gene_id")))
     by = Window.partitionBy("bin")
     sd = F.stddev_samp("dispersion").over(by)

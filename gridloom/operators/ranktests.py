@@ -58,10 +58,10 @@ def t_test(layer: DataFrame, obs: DataFrame, group: str) -> DataFrame:
     both = Window.partitionBy("gene_id")
     met = part.withColumn("_s_all", F.sum("_s").over(both)).withColumn("_q_all", F.sum("_q").over(both)).join(F.broadcast(sizes), group).crossJoin(F.broadcast(total))
     n2 = F.col("n") - F.col("n1")
-    m1, m2 = F.col("_s") / F.col("n1"), (F.col("_s_all") - F.col("_s")) / n2
-    v1 = (F.col("_q") - F.col("n1") * m1 * m1) / (F.col("n1") - 1) / F.col("n1")
-    v2 = (F.col("_q_all") - F.col("_q") - n2 * m2 * m2) / (n2 - 1) / n2
-    return met.select(group, "gene_id", ((m1 - m2) / F.sqrt(v1 + v2)).alias("t"), ((v1 + v2) * (v1 + v2) / (v1 * v1 / (F.col("n1") - 1) + v2 * v2 / (n2 - 1))).alias("df"))
+    m1, m2 = F.col("_s") / F.col("n1"), F.try_divide(F.col("_s_all") - F.col("_s"), n2)
+    v1 = F.try_divide(F.col("_q") - F.col("n1") * m1 * m1, (F.col("n1") - 1) * F.col("n1"))
+    v2 = F.try_divide(F.col("_q_all") - F.col("_q") - n2 * m2 * m2, (n2 - 1) * n2)
+    return met.select(group, "gene_id", F.try_divide(m1 - m2, F.sqrt(v1 + v2)).alias("t"), F.try_divide((v1 + v2) * (v1 + v2), v1 * v1 / (F.col("n1") - 1) + v2 * v2 / (n2 - 1)).alias("df"))
 
 
 def consensus_tiers(rows: DataFrame, *, alpha: float = 0.05, lfc: float = 0.25, coef: float = 0.25, pb: float = 0.5, with_pseudobulk: bool = True) -> DataFrame:
@@ -89,7 +89,7 @@ def cliffs_delta(rows: DataFrame, by: list[str], side: str, value: str, a: str,
     ranked = kept.withColumn("_r", F.rank().over(order.orderBy(value)) + (F.count("*").over(Window.partitionBy(*by, value)) - 1) / 2.0)
     part = ranked.groupBy(*by).agg(F.sum(F.when(F.col(side) == a, F.col("_r"))).alias("_s"), F.sum((F.col(side) == a).cast("double")).alias("n_a"), F.sum((F.col(side) == b).cast("double")).alias("n_b")).where("n_a > 0 and n_b > 0")
     u = F.col("_s") - F.col("n_a") * (F.col("n_a") + 1) / 2
-    return part.select(*by, F.col("n_a").cast("long").alias("n_a"), F.col("n_b").cast("long").alias("n_b"), (2 * u / (F.col("n_a") * F.col("n_b")) - 1).alias("delta"), u.alias("u"))
+    return part.select(*by, F.col("n_a").cast("long").alias("n_a"), F.col("n_b").cast("long").alias("n_b"), (F.try_divide(2 * u, (F.col("n_a") * F.col("n_b")).cast("double")) - 1).alias("delta"), u.alias("u"))
 
 
 def shrink(effect: Column, n: Column, k: float) -> Column:

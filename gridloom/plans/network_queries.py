@@ -59,7 +59,7 @@ def term_family(v: Views):
     return v.table("part").select("p_partkey", enrichment.family(term).alias("family"))
 
 
-_ES = _NET + ", st AS (SELECT cluster_id, gene_id, value - avg(value) OVER (PARTITION BY cluster_id) AS stat FROM m), r AS (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY stat DESC, gene_id) AS rk, count(*) OVER (PARTITION BY cluster_id) AS n FROM st), g AS (SELECT r.*, s.source, e.target IS NOT NULL AS hit FROM r CROSS JOIN (SELECT DISTINCT source FROM net) s LEFT JOIN net e ON e.source = s.source AND e.target = r.gene_id), t AS (SELECT cluster_id, source, sum(abs(stat)) FILTER (hit) AS w, count(*) FILTER (hit) AS k FROM g GROUP BY 1, 2), c AS (SELECT g.cluster_id, g.source, k, sum(CASE WHEN hit THEN abs(stat) / w ELSE -1.0 / (n - k) END) OVER (PARTITION BY g.cluster_id, g.source ORDER BY rk) AS run FROM g JOIN t USING (cluster_id, source)), b AS (SELECT cluster_id, source, min(k) AS size, max(run) AS hi, least(min(run), 0) AS lo FROM c GROUP BY 1, 2)"
+_ES = _NET + ", st AS (SELECT cluster_id, gene_id, value - avg(value) OVER (PARTITION BY cluster_id) AS stat FROM m), r AS (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY stat DESC, gene_id) AS rk, count(*) OVER (PARTITION BY cluster_id) AS n FROM st), g AS (SELECT r.*, s.source, e.target IS NOT NULL AS hit FROM r CROSS JOIN (SELECT DISTINCT source FROM net) s LEFT JOIN net e ON e.source = s.source AND e.target = r.gene_id), t AS (SELECT cluster_id, source, sum(abs(stat)) FILTER (hit) AS w, count(*) FILTER (hit) AS k FROM g GROUP BY 1, 2), c AS (SELECT g.cluster_id, g.source, k, sum(CASE WHEN hit THEN abs(stat) / w ELSE -1.0 / (n - k) END) OVER (PARTITION BY g.cluster_id, g.source ORDER BY rk) AS run FROM g JOIN t USING (cluster_id, source) JOIN (SELECT cluster_id, count(*) AS all_n FROM st GROUP BY 1) USING (cluster_id) WHERE k < all_n AND w > 0), b AS (SELECT cluster_id, source, min(k) AS size, max(run) AS hi, least(min(run), 0) AS lo FROM c GROUP BY 1, 2)"
 
 
 @query("running_sum_es", _ES + " SELECT cluster_id, source, size, round(CASE WHEN hi >= -lo THEN hi ELSE lo END, 6) AS es FROM b WHERE size >= 3")
