@@ -6,8 +6,8 @@ leader with elastic-net penalties, and a temperature fitted on a fifth of the sa
 see calibrates the probabilities. Scoring is one pass without a shuffle.
 
 Defined cases
-    A null text, or one without a letter: ``und`` with score 0. No row to learn from: ``und`` for all. Null
-    ids are scored but never learnt from. Repeated rows count as often as they stand. Equal probabilities:
+    A null text, or one without a letter: ``und`` with score 0. A text of any length is read whole. No row to learn
+    from, or an empty table: ``und`` for all. Null ids are scored but never learnt from. Repeated rows count as often as they stand. Equal probabilities:
     the first language in string order. Other columns, also ones named like results, are not read.
 """
 
@@ -58,7 +58,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in batch.column("text").to_pylist():
             total[counter.of(letters(text))[0]] += 1
             total[-1] += 1
-    yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["vector"])
+    yield from linear.counted(total)
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,7 +74,7 @@ def train(rows: DataFrame, *, max_train: int = 3000, rounds: int = 3, l1: float
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # as many rows as languages
     if not sizes:
         return None
-    frequency = linear.summed(rows.select("text").mapInArrow(_frequencies, "vector binary"), (1 << BITS) + 1)
+    frequency = linear.summed(rows.select("text").mapInArrow(_frequencies, linear.COUNTS), (1 << BITS) + 1)
     idf = np.log((1 + frequency[-1]) / (1 + frequency[:-1])) + 1
     chosen = rows.where(linear.sample_condition(F.col("doc_id"), F.col("lang"), sizes, max(1, max_train // len(sizes)), seed))
     sample = chosen.select("text", "lang", F.xxhash64("doc_id", F.lit(seed + 1)).alias("place")).mapInArrow(_features, "lang string, place long, slots binary, counts binary").toArrow().to_pylist()

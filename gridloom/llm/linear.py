@@ -9,20 +9,40 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import textkit as tk
 
-def summed(vectors: DataFrame, size: int) -> np.ndarray:
-    """Sum of the packed int64 vectors in column ``vector``, added up on the executors in two steps."""
+
+#: A vector of counts is added up in so many ranges of slots, a task each.
+RANGES = 32
+COUNTS = "range long, slots binary, counts binary"
+
+
+def counted(total: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows of ``COUNTS`` with what isn't zero of a task's vector; none if all is."""
+    at = np.flatnonzero(total)
+    if not len(at):
+        return
+    width = -(-len(total) // RANGES)
+    border = np.searchsorted(at, np.arange(RANGES + 1) * width).tolist()
+    cuts = [(k, a, b) for k, (a, b) in enumerate(zip(border, border[1:], strict=False)) if b > a]
+    yield pa.RecordBatch.from_arrays([pa.array([k for k, _, _ in cuts], pa.int64()), pa.array([at[a:b].astype(np.int32).tobytes() for _, a, b in cuts], pa.binary()), pa.array([tk.pack64(total[at[a:b]]) for _, a, b in cuts], pa.binary())], names=["range", "slots", "counts"])
+
+
+def summed(parts: DataFrame, size: int) -> np.ndarray:
+    """Sum of the tasks' vectors (rows of ``COUNTS``), a range of slots a task: what is sent grows with the slots that
+    occur, and ``size`` numbers at most come to the driver."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, dtype=np.int64)
         for batch in batches:
-            for blob in batch.column("vector"):
-                total += np.frombuffer(blob.as_buffer(), dtype=np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["vector"])
-
-    once = vectors.select("vector").repartition(max(8, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)).mapInArrow(add, "vector binary")
-    row = once.repartition(1).mapInArrow(add, "vector binary").first()
-    return np.frombuffer(bytes(row["vector"]), dtype=np.int64) if row else np.zeros(size, dtype=np.int64)
+            for slots, counts in zip(batch.column("slots"), batch.column("counts"), strict=True):
+                total[np.frombuffer(slots.as_buffer(), dtype=np.int32)] += tk.unpack64(counts.as_buffer())
+        yield from counted(total)
+
+    total = np.zeros(size, dtype=np.int64)
+    for row in parts.repartition(RANGES, "range").mapInArrow(add, COUNTS).collect():
+        total[np.frombuffer(bytes(row["slots"]), dtype=np.int32)] += tk.unpack64(bytes(row["counts"]))
+    return total
 
 
 SHARES = 1 << 30

@@ -3,13 +3,15 @@
 The ratios come from the presence counts of every n-gram slot in all labelled rows that may be learnt from
 (after Wang and Manning, 2012), drawn towards zero by ``doubt`` standard errors, so that n-grams seen a few
 times say little; the classifier on top is trained on at most ``max_train`` of these rows, half
-of either class where there are enough, and its constant is set back to the classes' true shares.
+of either class where there are enough, and its constant is set back to the classes' true shares. A training row
+takes 64 KB on the driver at most.
 
 Labels meet the documents by id: broadcast while they are no more than ``BROADCAST_LABELS`` rows, else by a
 shuffled join of the labelled documents. Scoring is one pass without a shuffle.
 
 Defined cases
-    null or empty text: no n-grams, the constant's score. Labels that are null or for unknown ids teach
+    null or empty text: no n-grams, the constant's score. A text of any length is read whole. Ties: a score of 0.5 is
+    predicted toxic. An empty table gives an empty result. Labels that are null or for unknown ids teach
     nothing; an id with several labels is toxic if one says so; rows that repeat an id are examples each.
     Without labels of both classes every score is 0. Null ids are scored and never learnt from. Other columns
     are not read.
@@ -50,19 +52,34 @@ def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = total[toxic * (SLOTS + 1) : (toxic + 1) * (SLOTS + 1)]
             part[counter.of(letters(text or ""))[0]] += 1
             part[-1] += 1
-    yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["vector"])
+    yield from linear.counted(total)
+
+
+def _packed(slots: np.ndarray) -> bytes:
+    """Slots as a first byte and numbers, or as a bitmap if that is less: 64 KB at most, however long the text."""
+    if 4 * len(slots) < SLOTS // 8:
+        return b"n" + slots.astype(np.int32).tobytes()
+    held = np.zeros(SLOTS, dtype=bool)
+    held[slots] = True
+    return b"b" + np.packbits(held).tobytes()
+
+
+def _unpacked(blob: bytes) -> np.ndarray:
+    if blob[:1] == b"n":
+        return np.frombuffer(blob, dtype=np.int32, offset=1)
+    return np.flatnonzero(np.unpackbits(np.frombuffer(blob, dtype=np.uint8, offset=1)))
 
 
 def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counter = Counter(ORDERS, BITS)
     for batch in batches:
-        found = [counter.of(letters(text or ""))[0].astype(np.int32).tobytes() for text in batch.column("text").to_pylist()]
+        found = [_packed(counter.of(letters(text or ""))[0]) for text in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("place"), pa.array(found, pa.binary())], names=["label", "place", "slots"])
 
 
 def train(rows: DataFrame, *, max_train: int = 4000, rounds: int = 4, alpha: float = 0.1, l2: float = 1.0, doubt: float = 1.5, seed: int = 23) -> Model | None:
     """A model from rows of (doc_id, text, label 0 or 1); None unless both labels occur."""
-    counts = linear.summed(rows.select("text", "label").mapInArrow(_presence, "vector binary"), 2 * (SLOTS + 1))
+    counts = linear.summed(rows.select("text", "label").mapInArrow(_presence, linear.COUNTS), 2 * (SLOTS + 1))
     clean, toxic = counts[: SLOTS + 1], counts[SLOTS + 1 :]
     sizes = {0: int(clean[-1]), 1: int(toxic[-1])}
     if not all(sizes.values()):
@@ -76,7 +93,7 @@ def train(rows: DataFrame, *, max_train: int = 4000, rounds: int = 4, alpha: flo
     learner = linear.Ftrl(SLOTS, 1, alpha=alpha, l2=l2)
     for _ in range(rounds):
         for r in sample:
-            slots = np.frombuffer(r["slots"], dtype=np.int32)
+            slots = _unpacked(r["slots"])
             learner.step(slots, ratio[slots], np.array([float(r["label"])]))
     weights = learner.weights()[:, 0]
     held = [sum(r["label"] == k for r in sample) for k in (0, 1)]
