@@ -8,9 +8,10 @@ of word and character-class n-grams is trained on the posteriors of at most ``ma
 all of them, so that texts on which few labellers vote are judged by what they are made of.
 
 Defined cases
-    null or empty text: every labeller abstains but that of length, and the score is that of no features.
-    Null ids are scored, not sampled. Repeated rows count as often as they stand. An empty table gives an
-    empty result; a corpus of one pattern keeps the prior. Other columns are not read.
+    null or empty text: every labeller abstains but that of length, and the score is that of no features. A text of
+    any length is measured whole. Null ids are scored, not sampled. Repeated rows count as often as they stand.
+    Ties: a measure equal to a border votes, a mean equal to ``min_score`` is kept. An empty table gives an empty
+    result; a corpus of one pattern keeps the prior. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -120,8 +121,7 @@ def estimate(patterns: dict[int, int], rounds: int = 200) -> tuple[np.ndarray, d
     """(labellers x {bad, good} x vote) probabilities and the posterior of good by pattern.
 
     The start fixes which of the two unseen classes is called good: any labeller finds fault with some bad
-    texts and with hardly any good one. The one assumption that stays is that a labeller finds fault with at
-    most one good text in fifty; how often it finds fault with bad ones, and all else, is estimated.
+    texts and with hardly any good one. From there on every probability is estimated, one count of each vote added.
     """
     m = len(LABELLERS)
     codes = np.array(sorted(patterns), dtype=np.int64)
@@ -138,8 +138,6 @@ def estimate(patterns: dict[int, int], rounds: int = 200) -> tuple[np.ndarray, d
             for v in range(3):
                 chance[:, y, v] = ((votes == v) * weight[:, None]).sum(axis=0) + 1.0
         chance /= chance.sum(axis=2, keepdims=True)
-        chance[:, 1, 0] = np.minimum(chance[:, 1, 0], 0.02)
-        chance /= chance.sum(axis=2, keepdims=True)
         good = float(np.clip((n @ posterior + 1) / (n.sum() + 2), 1e-3, 1 - 1e-3))
     return chance, {int(c): float(p) for c, p in zip(codes, posterior, strict=True)}
 
