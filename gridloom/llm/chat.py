@@ -15,7 +15,8 @@ Rendering gives each piece its text with a header where a turn begins and an end
 pieces of a transcript, in order, make up its canonical form.
 
 Defined cases
-    null or empty text: one empty line. Null ids form one transcript; null positions come first. Equal
+    null or empty text: one empty line. A transcript of any length is decoded whole, over as many ranges as it
+    takes; a single piece is one task's. Null ids form one transcript; null positions come first. Equal
     positions: in the order of the texts. Repeated rows are pieces each. An empty table gives an empty result;
     without a known role the model is that of its priors. Other columns are not read.
 """
@@ -29,7 +30,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scratch import Scratch, small_batches
@@ -324,6 +325,11 @@ def placed(raw: DataFrame) -> DataFrame:
     return met.select(*raw.columns, (F.col("_first") + F.col("_line")).alias("line"))
 
 
+def half(conv_id: str) -> Column:
+    """0 or 1 by a hash of the conversation, so that what is learnt from one half can be tried on the other."""
+    return F.coalesce(F.pmod(F.xxhash64(conv_id, F.lit("half")), F.lit(2)), F.lit(0))
+
+
 def lines(rows: DataFrame) -> DataFrame:
     """The transcripts of ``placed`` rows as lines (conv_id, position, text), without the turns' borders."""
     cut = rows.select("conv_id", "line", F.posexplode(F.split("text", "\n")).alias("_k", "text"))

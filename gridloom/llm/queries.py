@@ -45,11 +45,13 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transcripts written from the conversations' roles, parsed as running lines without roles or borders of turns;
-    the roles teach the model only. What was found is given by the turns that were written."""
+    """Transcripts written from the conversations' roles, parsed as running lines without roles or borders of turns.
+    Each half of the conversations is parsed by a model that the roles of the other half taught. What was found is
+    given by the turns that were written."""
     raw = chat.transcripts(_table(spark, sf_dir, "conversations"))
-    rows = chat.placed(raw)
-    found = chat.by_turn(chat.parse(chat.lines(rows), raw, turns=False), rows)
+    rows, half = chat.placed(raw), chat.half("conv_id")
+    parts = [chat.by_turn(chat.parse(chat.lines(rows.where(half == k)), raw.where(half != k), turns=False), rows.where(half == k)) for k in (0, 1)]
+    found = parts[0].unionByName(parts[1])
     return found.select("conv_id", F.col("position").alias("turn"), "n_lines", F.array_join("line_roles", ",").alias("line_roles"), F.size("turns").alias("n_turns"), F.sha2("rendered", 256).alias("rendered_sha256"))
 
 

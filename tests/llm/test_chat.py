@@ -49,9 +49,10 @@ def test_cuts_change_nothing(spark, ranges):
 
 
 def test_roles_are_recovered(spark):
+    """By a model of other conversations."""
     raw = known(spark)
     truth = {(r.conv_id, r.position): r.role for r in raw.collect()}
-    found = c.parse(raw.drop("role"), raw).collect()
+    found = [r for k in (0, 1) for r in c.parse(raw.where(c.half("conv_id") == k).drop("role"), raw.where(c.half("conv_id") != k)).collect()]
     lines = [(x, truth[r.conv_id, r.position]) for r in found for x in r.line_roles]
     assert len(found) == len(truth) and np.mean([a == b for a, b in lines]) > 0.95
     assert q.op2_chat_format(spark, MID).count() == len(truth)
@@ -65,11 +66,12 @@ def test_turns_are_found_in_whole_texts(spark, unmarked, least_lines, least_star
         said.setdefault(r.conv_id, []).append((r.role, r.text.split("\n")))
     texts = spark.createDataFrame([(i, 0, "\n".join("\n".join(x) for _, x in turns)) for i, turns in said.items()], "conv_id long, position long, text string")
     hits, starts, false_starts = [], [], []
-    for r in c.parse(texts, raw, turns=False).collect():
+    mine = lambda f, k: f.where(c.half("conv_id") == k)
+    for r in (r for k in (0, 1) for r in c.parse(mine(texts, k), mine(raw, 1 - k), turns=False).collect()):
         truth = [(role, k == 0) for role, x in said[r.conv_id] for k in range(len(x))]
         hits += [a == b for a, (b, _) in zip(r.line_roles, truth, strict=True)]
     rows = c.placed(raw)
-    found = c.by_turn(c.parse(c.lines(rows), raw, turns=False), rows).collect()
+    found = [r for k in (0, 1) for r in c.by_turn(c.parse(c.lines(mine(rows, k)), mine(raw, 1 - k), turns=False), mine(rows, k)).collect()]
     lines = {(r.conv_id, r.position): r for r in found}
     for i, turns in said.items():
         for k, (_, x) in enumerate(turns):
