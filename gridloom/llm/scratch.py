@@ -1,7 +1,7 @@
 """Shared scratch storage that cuts lineage.
 
 Tables live below the folder the cluster names in ``spark.checkpoint.dir`` so that every executor and the
-driver can read them; only where that setting is absent (tests, a laptop) a local folder is chosen.
+driver can read them; only where that setting is absent and all runs on one machine is a local folder chosen.
 """
 
 from __future__ import annotations
@@ -16,10 +16,12 @@ _doomed: list[tuple[SparkSession, str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The shared folder; sets a local one for checkpoint() if the session has none."""
+    """The shared folder; sets a local one for checkpoint() if a local session has none."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="gridloom-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
@@ -51,8 +53,16 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
 _LARGE_ROWS = {"parquet.block.size": 16 << 20, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 16, "parquet.block.size.row.check.min": 1, "parquet.block.size.row.check.max": 16}
 
 
+def release(spark: SparkSession) -> None:
+    """Delete the written tables of all operators so far; frames that still read them can't be used any more."""
+    for held in [x for x in _doomed if x[0] is spark]:
+        _remove(*held)
+        _doomed.remove(held)
+
+
 class Scratch:
-    """Written tables of one run of an operator."""
+    """Written tables of one run of an operator. They are needed as long as its result is, so they stay until
+    ``release`` or the end of the interpreter."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
