@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame
 
 
 def materialise(rows: DataFrame) -> DataFrame:
-    """Rows written once below ``spark.checkpoint.dir``; a local folder serves only where that is unset (tests)."""
+    """Rows written once below ``spark.checkpoint.dir``; a local folder serves only where that is unset and all runs
+    on one machine."""
     context = rows.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(rows.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="gridloom-"))
+        folder = rows.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="gridloom-"))
     return rows.checkpoint()
