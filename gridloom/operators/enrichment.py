@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +42,52 @@ def univariate(matrix: DataFrame, net: DataFrame, group: str) -> DataFrame:
     return met.select(group, "source", t.alias("score")).where("score is not null and not isnan(score)")
 
 
+def oriented(net: DataFrame, genes: DataFrame) -> DataFrame:
+    """The net with genes as targets: source and target change places where more of the sources are genes."""
+    known = genes.select(F.col("gene_id").alias("_g")).distinct()
+    hits = [net.select(F.col(c).alias("_g")).distinct().join(known, "_g", "left_semi").count() for c in ("source", "target")]
+    if hits[0] <= hits[1]:
+        return net
+    return net.select(F.col("target").alias("source"), F.col("source").alias("target"), *(c for c in net.columns if c not in ("source", "target")))
+
+
+def multivariate(matrix: DataFrame, net: DataFrame, group: str) -> DataFrame:
+    """t-values of all sources' weights in one linear model per group over all genes of the matrix, with a constant.
+
+    The model matrix is the same for all groups, so its normal matrix comes from the net alone (sources by sources, on
+    the driver); what depends on the group are sums over its genes, in SQL, and one product a group. Sources that follow
+    from the others share their effect by the pseudo-inverse. ``matrix`` (group, gene_id, value) is dense.
+    """
+    genes = matrix.select("gene_id").distinct()
+    n = genes.count()
+    held = net.join(genes.withColumnRenamed("gene_id", "target"), "target", "left_semi").groupBy("source", "target").agg(F.sum("weight").cast("double").alias("weight"))
+    sums = {r["source"]: r["s"] for r in held.groupBy("source").agg(F.sum("weight").alias("s")).collect()}  # a row a source
+    names = sorted(sums)
+    place = {s: k + 1 for k, s in enumerate(names)}
+    normal = np.zeros((len(names) + 1, len(names) + 1))
+    normal[0, 0] = n
+    normal[0, 1:] = normal[1:, 0] = [sums[s] for s in names]
+    for r in held.alias("x").join(held.toDF("_s", "target", "_w").alias("y"), "target").groupBy("source", "_s").agg(F.sum(F.col("weight") * F.col("_w")).alias("p")).collect():  # sources by sources
+        normal[place[r["source"]], place[r["_s"]]] = r["p"]
+    inverse, left = np.linalg.pinv(normal), n - np.linalg.matrix_rank(normal)
+    every = matrix.groupBy(group).agg(F.sum("value").cast("double").alias("sy"), F.sum(F.col("value").cast("double") * F.col("value")).alias("syy"))
+    part = _met(matrix, held, group).groupBy(group, "source").agg(F.sum(F.col("weight") * F.col("value")).alias("xy"))
+    kind = matrix.schema[group].dataType.simpleString()
+
+    def solve(rows: pd.DataFrame) -> pd.DataFrame:
+        right = np.zeros(len(names) + 1)
+        right[0] = rows["sy"].iloc[0]
+        for source, xy in zip(rows["source"], rows["xy"], strict=True):
+            right[place[source]] = xy
+        beta = inverse @ right
+        rest = max(0.0, float(rows["syy"].iloc[0] - beta @ right))
+        error = np.sqrt(np.maximum(np.diag(inverse) * rest / max(left, 1), 0))[1:]
+        score = np.divide(beta[1:], error, out=np.full(len(names), np.nan), where=error > 0)
+        return pd.DataFrame({group: rows[group].iloc[0], "source": names, "score": score})
+
+    return part.join(every, group).groupBy(group).applyInPandas(solve, f"`{group}` {kind}, source string, score double").where("not isnan(score)")
+
+
 def aucell(matrix: DataFrame, net: DataFrame, group: str, top: int) -> DataFrame:
     """Area under the recovery curve of a set's genes among the ``top`` of each group, over the greatest possible."""
     order = Window.partitionBy(group).orderBy(F.desc("value"), "gene_id")

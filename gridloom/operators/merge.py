@@ -77,13 +77,22 @@ def resolve_tokens(tokens: DataFrame, display: DataFrame) -> DataFrame:
 
 
 def subset_by_clusters(cells: DataFrame, mapping: DataFrame, label: str) -> DataFrame:
-    """Cells with the subset that their label's Cnn code maps to; cells of unmapped clusters go."""
+    """Cells with the subset that their label's Cnn code maps to; cells of unmapped clusters go. A code of several
+    subsets, or of no cell, is an error."""
     repeated = mapping.groupBy("code").agg(F.countDistinct("subset").alias("_n")).where("_n > 1").limit(1).count()
     if repeated:
         raise ValueError("a cluster maps to several subsets")
+    codes = cells.select(cluster_code(F.col(label)).alias("code")).distinct()
+    if absent := [r["code"] for r in mapping.join(codes, "code", "left_anti").select("code").distinct().orderBy("code").limit(10).collect()]:
+        raise ValueError(f"no cell is in the clusters {absent}")
     return cells.withColumn("code", cluster_code(F.col(label))).join(F.broadcast(mapping), "code")
 
 
+def subset_summary(marked: DataFrame) -> DataFrame:
+    """Cells and clusters of each subset."""
+    return marked.groupBy("subset").agg(F.count("*").alias("n_cells"), F.countDistinct("code").alias("n_clusters"))
+
+
 def overlay(parent: DataFrame, children: list[DataFrame], label: str) -> DataFrame:
     """Parent labels with the children's over them; children must lie in the parent and be disjoint."""
     merged = reduce(DataFrame.unionByName, [c.select("cell_id", F.col(label).alias("_child")) for c in children])

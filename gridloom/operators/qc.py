@@ -158,6 +158,36 @@ def variable_genes(layer: DataFrame, obs: DataFrame, n_top: int, bins: int = 5)
     return scored.withColumn("rank", F.row_number().over(order).cast("long")).withColumn("highly_variable", F.col("rank") <= n_top)
 
 
+def dispersion_genes(layer: DataFrame, obs: DataFrame, n_top: int, batch: str | None = None, bins: int = 20) -> DataFrame:
+    """Highly variable genes by binned dispersion of log-normalised values, for each batch by itself.
+
+    Means and variances are those of expm1 of the layer, zeros included; log dispersions are standardised in ``bins``
+    equal widths of log1p(mean), a gene alone in its bin scores 1. Without batches the first ``n_top`` by score; with
+    them, by the number of batches in which a gene is among the first, then by its mean score over batches (0 where it
+    has none). Ties by gene id. Genes without variance in any batch are left out.
+    """
+    name = batch or "_batch"
+    cells = obs.select("cell_id", (F.col(batch) if batch else F.lit("all")).alias(name)).where(F.col(name).isNotNull())
+    sizes = cells.groupBy(name).agg(F.count("*").cast("double").alias("_n"))
+    value = F.expm1("value")
+    part = layer.join(cells, "cell_id").groupBy(name, "gene_id").agg(F.sum(value).alias("_s"), F.sum(value * value).alias("_q")).join(sizes, name)
+    mean = F.col("_s") / F.col("_n")
+    part = part.select(name, "gene_id", mean.alias("_m"), F.try_divide(F.col("_q") - F.col("_n") * mean * mean, F.col("_n") - 1).alias("_v")).where("_m > 0 and _v > 0")
+    part = part.select(name, "gene_id", F.log1p("_m").alias("mean"), F.log(F.col("_v") / F.col("_m")).alias("dispersion"))
+    by = Window.partitionBy(name)
+    width = (F.max("mean").over(by) - F.min("mean").over(by)) / bins
+    place = F.coalesce(F.try_divide(F.col("mean") - F.min("mean").over(by), width), F.lit(0.0))
+    binned = part.withColumn("bin", F.least(F.lit(bins), F.greatest(F.lit(1), F.ceil(F.round(place, 9)))).cast("int"))
+    inside = Window.partitionBy(name, "bin")
+    centre, sd, alone = F.avg("dispersion").over(inside), F.stddev_samp("dispersion").over(inside), F.count("*").over(inside) == 1
+    scored = binned.withColumn("score", F.when(alone, F.lit(1.0)).otherwise(F.coalesce(F.try_divide(F.col("dispersion") - centre, sd), F.lit(0.0))))
+    first = scored.withColumn("_first", F.row_number().over(Window.partitionBy(name).orderBy(F.desc(F.round("score", 9)), "gene_id")) <= n_top)
+    n = F.broadcast(sizes.agg(F.count("*").alias("_b")))
+    genes = first.groupBy("gene_id").agg(F.sum(F.col("_first").cast("long")).alias("n_batches"), F.sum("score").alias("_s")).crossJoin(n).select("gene_id", "n_batches", (F.col("_s") / F.col("_b")).alias("score"))
+    order = Window.partitionBy(F.lit(0)).orderBy(F.desc("n_batches"), F.desc(F.round("score", 9)), "gene_id")  # genes, not cells
+    return genes.withColumn("rank", F.row_number().over(order).cast("long")).withColumn("highly_variable", F.col("rank") <= n_top)
+
+
 def prevalence(layer: DataFrame, obs: DataFrame, group: str) -> DataFrame:
     """Per (group, gene): cells with a value over all cells of the group."""
     n = obs.groupBy(group).agg(F.count("*").alias("n_cells"))

@@ -45,6 +45,35 @@ def stratified(rows: DataFrame, label: str, most: int, seed: str = "0", key: str
     return top_k(rows.withColumn("_h", F.md5(F.concat_ws("|", F.lit(seed), F.col(key).cast("string")))), most, [label], F.col("_h"), F.col(key)).drop("_h")
 
 
+def two_levels(rows: DataFrame, level: str, a: str, b: str, most: int, seed: str = "0", key: str = "cell_id") -> tuple[DataFrame, DataFrame]:
+    """(rows, one row of numbers): at most so many rows of either level, each drawn by itself; 0 draws all."""
+    held = rows.where(F.col(level).isin(a, b))
+    used = stratified(held, level, most, seed, key) if most > 0 else held
+    count = lambda x, name: F.sum((F.col(level) == x).cast("long")).alias(name)
+    before = held.agg(count(a, "n_a"), count(b, "n_b"))
+    limit = F.lit(most if most > 0 else 1 << 62)
+    numbers = before.select("n_a", "n_b", F.least("n_a", limit).alias("n_a_used"), F.least("n_b", limit).alias("n_b_used"))
+    return used, numbers.withColumn("downsampled", (F.col("n_a_used") < F.col("n_a")) | (F.col("n_b_used") < F.col("n_b")))
+
+
+def proportional(rows: DataFrame, batch: str, target: int, seed: str = "0", key: str = "cell_id") -> DataFrame:
+    """About ``target`` rows, every batch by its share: the floor of it, one at least if the target has room for all
+    batches, and what is left to the greatest remainders (ties: the first by name). Drawn by an md5 of seed and key."""
+    sizes = rows.where(F.col(batch).isNotNull()).groupBy(batch).agg(F.count("*").alias("_n"))
+    every = Window.partitionBy(F.lit(0))  # batches, not rows
+    share = F.col("_n") * F.lit(float(target)) / F.sum("_n").over(every)
+    room = F.count("*").over(every) <= target
+    base = F.least("_n", F.greatest(F.floor(share), F.when(room, F.lit(1)).otherwise(F.lit(0)))).cast("long")
+    given = sizes.withColumn("_share", share).withColumn("_base", base)
+    left = F.lit(target) - F.sum("_base").over(every)
+    order = Window.partitionBy(F.lit(0)).orderBy((F.col("_base") < F.col("_n")).desc(), F.desc(F.round(F.col("_share") - F.col("_base"), 9)), batch)
+    more = given.withColumn("_left", left).withColumn("_k", F.row_number().over(order))
+    take = F.col("_base") + F.when((F.col("_k") <= F.col("_left")) & (F.col("_base") < F.col("_n")), 1).otherwise(0)
+    hashed = rows.withColumn("_h", F.md5(F.concat_ws("|", F.lit(seed), F.col(key).cast("string")))).join(F.broadcast(more.select(batch, take.alias("_take"))), batch)
+    placed = hashed.withColumn("_r", F.row_number().over(Window.partitionBy(batch).orderBy("_h", key))).where("_r <= _take")
+    return placed.select(*rows.columns)
+
+
 def sort_results(rows: DataFrame, order: list[tuple[str, bool]], tie: list[str]) -> DataFrame:
     """Sorted by columns with their own directions; missing ones are skipped."""
     have = [F.col(c).asc_nulls_last() if up else F.col(c).desc_nulls_last() for c, up in order if c in rows.columns]

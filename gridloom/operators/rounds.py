@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .merge import relabel_by_size
@@ -22,6 +22,28 @@ def register(rounds: DataFrame, round_id: str, parent: str | None, round_type: s
     return rounds.unionByName(one)
 
 
+def described(labels: DataFrame, round_id: str) -> DataFrame:
+    """What a round is registered with, a row a cluster: its cells, its identity map (cluster_id to itself) and number."""
+    sizes = labels.where(F.col("round_id") == round_id).groupBy("round_id", "cluster_id").agg(F.count("*").alias("n_cells"))
+    return sizes.select("round_id", "cluster_id", "n_cells", F.col("cluster_id").alias("mapped_id"), F.col("cluster_id").alias("renumbered_id"))
+
+
+def stamp() -> Column:
+    """The time of a registration, as an ISO text in UTC."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def project(rounds: DataFrame, labels: DataFrame, parent: str, embedding: str, suffix: str = "secondary_integration_projection") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A projection: a child of a round with its labels and type ``projection``, made active, and the embedding that it
+    belongs to as a table of inputs (round_id, key, value). An unknown parent is an error."""
+    if not rounds.where(F.col("round_id") == parent).limit(1).count():
+        raise KeyError(parent)
+    name = next_round_id(rounds, suffix)
+    more, held = child(rounds, labels, parent, name, "projection")
+    inputs = rounds.sparkSession.createDataFrame([(name, "embedding", embedding)], "round_id string, key string, value string")
+    return activate(more, name), held, inputs
+
+
 def child(rounds: DataFrame, labels: DataFrame, parent: str, round_id: str, round_type: str) -> tuple[DataFrame, DataFrame]:
     """A shallow child: the parent's row with a new id and type, and a copy of its labels."""
     row = rounds.where(F.col("round_id") == parent).select(F.lit(round_id).alias("round_id"), F.lit(parent).alias("parent_round_id"), F.lit(round_type).alias("round_type"), "best_resolution", F.lit(False).alias("active"))

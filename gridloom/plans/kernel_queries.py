@@ -58,16 +58,22 @@ def nearest_neighbours(v: Views):
     return kernels.nearest(v.emb, v.emb.where("cell_id % 50 = 0"), 10).select("query", "neighbour", "place", F.round("distance", 6).alias("distance"))
 
 
-@query("cell_silhouette")
+_SIL = """--with d AS (SELECT a.cell_id, a.label AS own, b.label AS other, sqrt(list_sum(list_transform(list_zip(a.vec, b.vec), lambda x: (x[1]::DOUBLE - x[2]::DOUBLE) * (x[1]::DOUBLE - x[2]::DOUBLE)))) AS d FROM emb a, emb b),
+s AS (SELECT cell_id, own, other, sum(d) AS s, count(*) AS n FROM d GROUP BY ALL), m AS (SELECT cell_id, own AS label, max(CASE WHEN own = other AND n > 1 THEN s / (n - 1) END) AS a, min(CASE WHEN own != other THEN s / n END) AS b FROM s GROUP BY 1, 2),
+sil AS (SELECT cell_id, label, CASE WHEN a IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END AS silhouette FROM m)"""
+
+
+@query("cell_silhouette", _SIL + " SELECT cell_id, label, round(silhouette, 6) AS silhouette FROM sil")
 def cell_silhouette(v: Views):
-    """Blocked distances of all cells against all cells; too slow in SQL on whole tables, tested on a fixture."""
-    return kernels.silhouette(v.emb, v.emb, "label")
+    """Blocked distances of all cells against all cells."""
+    return kernels.silhouette(v.emb, v.emb, "label").select("cell_id", F.col("label").cast("int").alias("label"), F.round("silhouette", 6).alias("silhouette"))
 
 
-@query("cell_silhouette_summary")
+@query("cell_silhouette_summary", _SIL + " SELECT count(*) AS n, round(avg(silhouette), 6) AS mean, round(median(silhouette), 6) AS median, round(quantile_cont(silhouette, 0.1), 6) AS p10, round(quantile_cont(silhouette, 0.9), 6) AS p90 FROM sil")
 def cell_silhouette_summary(v: Views):
     """Of all cells, see above."""
-    return kernels.silhouette_summary(cell_silhouette(v))
+    found = kernels.silhouette_summary(kernels.silhouette(v.emb, v.emb, "label"))
+    return found.select("n", *(F.round(c, 6).alias(c) for c in ("mean", "median", "p10", "p90")))
 
 
 def members_of(v: Views):
@@ -82,7 +88,7 @@ def neighbourhood_seeds(v: Views):
 
 @query("neighbourhood_abundance")
 def neighbourhood_abundance(v: Views):
-    """Members come from blocked distances."""
+    """Its SQL stands with the design queries."""
     return neighbourhoods.abundance(members_of(v), v.emb, "sample", "condition", 1).select("seed", "sample", "condition", "n", "total")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import kernel_queries, merge_queries, network_queries, qc_queries, signal_queries, stat_queries, task_queries  # noqa: F401
+from . import design_queries, kernel_queries, merge_queries, network_queries, qc_queries, signal_queries, stat_queries, task_queries  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import conditions, enrichment, qc, ranktests, tasks
+from ..operators import conditions, enrichment, qc, tasks
 from .network_queries import _NET, net_of, rescored
 from .qc_queries import _PROBA, probabilities
 from .registry import query
@@ -41,12 +41,6 @@ def paired_effects(v: Views):
     return tasks.paired_effects(rescored(v).join(F.broadcast(levels), "sample_id"), ["event"], "condition", "score", "ASIA", "EUROPE")
 
 
-@query("receiver_genes")
-def receiver_genes(v: Views):
-    """Follows from ``wilcoxon_levels``, which has a text."""
-    return tasks.receiver_genes(ranktests.wilcoxon_levels(v.counts, v.obs, "cluster_id", "condition", "ASIA", "EUROPE"), "cluster_id", 1.0, 0.0).select("cluster_id", "gene_id", "padj")
-
-
 @query("aucell_by_cell", _NET + ", r AS (SELECT *, row_number() OVER (PARTITION BY cell_id ORDER BY value DESC, gene_id) AS rk FROM counts), k AS (SELECT source, least(count(*), 5) AS k FROM net GROUP BY 1), a AS (SELECT cell_id, source, sum(5 - rk + 1) AS area FROM r JOIN net ON gene_id = target WHERE rk <= 5 GROUP BY 1, 2) SELECT cell_id, source, round(area / (k * 5 - k * (k - 1) / 2), 6) AS score FROM a JOIN k USING (source)")
 def aucell_by_cell(v: Views):
     return enrichment.aucell(v.counts, net_of(v), "cell_id", 5).withColumn("score", F.round("score", 6))
