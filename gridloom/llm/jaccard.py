@@ -47,7 +47,7 @@ from . import textkit as tk
 from .components import connect
 from .hot import heavy_keys, spread_join
 from .scratch import Scratch, small_batches
-from .texts import chosen, keyed
+from .texts import chosen, keyed, sifted
 
 HEAVY = 1 << 20
 SPREAD = 20_000
@@ -372,7 +372,7 @@ class _Join:
         tasks = meeting.tasks_for(total * (share[1] - share[0]) // share[1])
         sent = self.rows.mapInArrow(_send(size, share, meeting.bits_for(tasks), frequent, other), _SENT)
         self.postings = self.scratch.table(sent.repartition(tasks, "bucket").mapInArrow(_meet, _POSTINGS), "postings")
-        self.common = self.scratch.table(heavy_keys(self.postings, "h"), "common")
+        self.common = heavy_keys(self.postings, "h")
 
     def _different(self, name: str) -> DataFrame:
         """One row for each key and word sequence."""
@@ -389,6 +389,7 @@ class _Join:
         sets = self.scratch.table(words.mapInArrow(_exact_sets(self.size), "key long, guard binary, exact binary"), "exact")
         wrong = sets.groupBy("key").agg(F.min("exact").alias("_first"), F.max("exact").alias("_last")).where("_first != _last").select("key", "_first")
         out: dict[int, dict[bytes, int]] = {}
+        self.scratch.drop("mixed")
         for row in sets.join(wrong, "key").where("exact != _first").select("key", "guard", F.xxhash64("key", "exact").alias("to")).collect():
             out.setdefault(row["key"], {})[bytes(row["guard"])] = row["to"]
         return out
@@ -412,10 +413,13 @@ class _Join:
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
         """Those pairs (a, b) of classes whose sets link."""
         pairs = self.scratch.table(pairs, f"{name}-met")
-        self.hubs = {x: self.scratch.table(heavy_keys(pairs, x), f"{name}-hubs-{x}") for x in "ab"}
-        maps = self.stats.where("key is not null").join(self.classes.select("key", "doc_id", "th"), ["key", "doc_id", "th"], "left_semi").dropDuplicates(["key"]).select("key", "n", "bits")
+        self.hubs = {x: heavy_keys(pairs, x) for x in "ab"}
+        nodes = self.scratch.table(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(), f"{name}-nodes")
+        maps = sifted(self.stats.where("doc_id is not null").select("key", "n", "bits"), nodes, "key").dropDuplicates(["key"])  # equal sets have equal maps
         sides = self._sides(pairs, maps, "bits", ("left", "right")).select("a", "b", "n", "left", "m", "right")
         pairs = self.scratch.table(sides.mapInArrow(_possible(self.share), "a long, b long"), f"{name}-pairs")
+        for done in ("met", "nodes"):
+            self.scratch.drop(f"{name}-{done}")
         nodes = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
         firsts = self.scratch.table(self.classes.join(nodes, "key", "left_semi").select("key", "doc_id", "th"), f"{name}-firsts")
         words = chosen(self.rows, firsts).dropDuplicates(["key"]).select("key", F.lit(None).cast("binary").alias("guard"), "text").mapInArrow(_texts, "key long, guard binary, words binary")
@@ -440,12 +444,14 @@ class _Join:
         pairs = self.scratch.table(pairs, f"{name}-first")
         nodes = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
         held = self.postings.join(nodes, "key", "left_semi").groupBy("key").agg(F.collect_list("h").alias("hs"))  # no longer than a document
-        self.hubs = {x: self.scratch.table(heavy_keys(pairs, x), f"{name}-first-hubs-{x}") for x in "ab"}
+        self.hubs = {x: heavy_keys(pairs, x) for x in "ab"}
         return self._sides(pairs, held, "hs", ("left", "right")).where("size(array_intersect(left, right)) >= m").select("a", "b")
 
     def across(self, roots: DataFrame) -> DataFrame:
         """All candidate pairs of classes that aren't connected yet."""
-        placed = self.postings.join(roots.toDF("key", "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+        placed = self.scratch.table(self.postings.join(roots.toDF("key", "root"), "key", "left").withColumn("root", F.coalesce("root", "key")), "rooted")
+        self.scratch.drop("postings")
+        self.postings = placed
         parts = placed.groupBy("h", "root").count().groupBy("h").agg(F.count("*").alias("parts"), F.max(F.struct("count", "root")).alias("main")).where("parts > 1").select("h", F.col("main.root").alias("main"))
         placed = self.scratch.table(spread_join(placed, parts, "h", self.common, by="key"), "placed")
         # one side of a pair is outside the list's main component, so pairs inside that are never formed
@@ -482,10 +488,11 @@ class _Join:
         least = joined.groupBy("root").agg(F.min("doc_id").alias("component_id"))
         return spread_join(joined.select("key", "root"), least, "root", heavy_keys(joined, "root"), by="key").select("key", "root", "component_id")
 
-    def with_keys(self, of: DataFrame, how: str = "left") -> DataFrame:
-        """Documents' stats joined with a table by key; copies of a text share a key."""
-        stats = self.stats.select("doc_id", "th", "n", "key", "guard")
-        return spread_join(stats, of, "key", heavy_keys(stats.where("key is not null"), "key"), how, by="doc_id")
+    def with_keys(self, of: DataFrame, *columns: str) -> DataFrame:
+        """Documents' stats (doc_id, th, n, key and the columns named) joined with a table by key, where there is a row;
+        copies of a text share a key."""
+        stats = self.stats.select("doc_id", "th", "n", "key", *columns)
+        return spread_join(stats, of, "key", heavy_keys(stats, "key"), "left", by="doc_id")
 
 
 def link(documents: DataFrame, *, size: int = 5, share: tuple[int, int] = (75, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -533,7 +540,7 @@ def keep_one(documents: DataFrame, *, size: int = 5, share: tuple[int, int] = (7
     join = _Join(documents, size, share, id_col, text_col)
     none = F.col("doc_id").isNull()
     group = F.when(none, F.hex("guard")).otherwise(F.hex("root"))
-    rows = join.with_keys(join.components().select("key", "root")).where("key is not null")
+    rows = join.with_keys(join.components().select("key", "root"), "guard").where("key is not null")
     rows = join.scratch.table(rows.groupBy("doc_id", "th", group.alias("group")).agg(F.count("*").alias("rows")), "rows")
     first = rows.groupBy("group", none.alias("none")).agg(F.min(F.struct("doc_id", "th")).alias("first")).select(F.struct("group", "none").alias("group"), "first")
     dealt = rows.select("doc_id", "th", "rows", F.struct("group", none.alias("none")).alias("group"))

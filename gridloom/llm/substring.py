@@ -234,17 +234,22 @@ def find(documents: DataFrame, *, window: int = 50, id_col: str = "doc_id", text
     keys = first.select("doc_id", "th", "value").groupBy("doc_id", "th").agg(F.min("value").alias("value")).join(alone, ["doc_id", "th"], "left_semi")
     keys = scratch.table(keys, "keys")
     state = scratch.table(chosen(rows, keys).dropDuplicates(["doc_id", "th"]).mapInArrow(_full_windows(window), _SPARK), "windows")
-    scratch.drop("scan")
-    found, level = None, window
+    for done in ("scan", "keys", f"level{window // 2}"):
+        scratch.drop(done)
+    found, level, levels = None, window, []
     while entries := _entries(state):
         done = _level(scratch, state, entries, level, window)
         rows_of = done.where(F.col("kind") == WINDOWS).select("doc_id", "th", "level", "value")
         found = rows_of if found is None else found.unionByName(rows_of)
+        levels.append(level)
         state, level = done.where(F.col("kind") == BLOCK), 2 * level
     if found is None:
         found = spark.createDataFrame([], "doc_id long, th long, level int, value binary")
     removals = found.groupBy("doc_id", "th").agg(F.max(F.when(F.length("value") > 0, F.col("value"))).alias("spans"), F.max("level").alias("longest"))
-    return stats, scratch.table(removals, "removals")
+    removals = scratch.table(removals, "removals")
+    for done in ("windows", *(f"level{x}" for x in levels)):
+        scratch.drop(done)
+    return stats, removals
 
 
 def _kept(window: int, texts: bool):

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bits of a sieve for each chosen document, and the least and greatest logarithm of a sieve's size.
-BITS_A_KEY, LEAST_BITS, MOST_BITS = 16, 12, 26
+BITS_A_KEY, LEAST_BITS, MOST_BITS = 64, 12, 26
 
 
 def keyed(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -14,18 +14,21 @@ def keyed(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("th", F.xxhash64("text"))
 
 
-def chosen(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows of ``keyed`` documents with a key (doc_id, th) in ``keys``, with the keys' other columns.
+def sifted(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """Rows whose value of a column is among the keys', and by chance a few others: what an exact join has to shuffle.
 
-    ``keys`` is read twice: a written table. A sieve of about 16 bits a key is broadcast and lets through the keys'
-    documents and by chance a few others; only their texts are shuffled to the exact join. It has at most 2**26
-    bits, in 2**20 longs; with so many keys that these would hold most documents back no longer, there is none.
+    ``keys`` is read twice: a written table. The sieve that is broadcast has 64 bits a key or more, but at most 2**26, in
+    2**20 longs; with so many keys that these would hold most rows back no longer, there is none and all pass.
     """
     n = keys.count()
     if 2 * n > 1 << MOST_BITS:
-        return rows.join(keys, ["doc_id", "th"])
+        return rows
     bits = min(MOST_BITS, max(LEAST_BITS, (BITS_A_KEY * n).bit_length()))
-    word, bit = f"(xxhash64(doc_id) & {(1 << bits) - 1}) >> 6", "shiftleft(1L, cast(xxhash64(doc_id) & 63 as int))"
+    word, bit = f"(xxhash64({column}) & {(1 << bits) - 1}) >> 6", f"shiftleft(1L, cast(xxhash64({column}) & 63 as int))"
     sieve = keys.select(F.expr(word).alias("_word"), F.expr(bit).alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
-    passed = rows.withColumn("_word", F.expr(word)).join(F.broadcast(sieve), "_word").where(f"(_bits & {bit}) != 0").drop("_word", "_bits")
-    return passed.join(keys, ["doc_id", "th"])
+    return rows.withColumn("_word", F.expr(word)).join(F.broadcast(sieve), "_word").where(f"(_bits & {bit}) != 0").drop("_word", "_bits")
+
+
+def chosen(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of ``keyed`` documents with a key (doc_id, th) in ``keys``, a written table, with the keys' other columns."""
+    return sifted(rows, keys, "doc_id").join(keys, ["doc_id", "th"])
