@@ -125,7 +125,7 @@ def candidate_events(events: DataFrame, allow: dict[str, list[str]] | None = Non
 
 def annotation_summary(events: DataFrame, annotation: str, score: str | None = None, focus: str | None = None) -> DataFrame:
     """Events and mean score of each annotation (nulls: ``Unannotated``), by a focus column if one is named."""
-    by = [F.col(focus).cast("string").alias(focus)] * bool(focus) + [F.coalesce(F.col(annotation).cast("string"), F.lit(UNANNOTATED)).alias(annotation)]
+    by = ([F.col(focus).cast("string").alias(focus)] if focus else []) + [F.coalesce(F.col(annotation).cast("string"), F.lit(UNANNOTATED)).alias(annotation)]
     return events.groupBy(*by).agg(F.count("*").alias("n_events"), (F.avg(score) if score else F.lit(None).cast("double")).alias("mean_score"))
 
 
