@@ -70,3 +70,19 @@ def test_query(spark, data):
     check(rows, docs, 2048, 32_768, 16)
     lengths, counts = np.unique([r.n_tokens for r in rows], return_counts=True)
     assert sorted({r.bucket_len for r in rows}) == p.borders(lengths, counts, 16)
+
+
+def test_pieces_carry_their_texts(spark):
+    rnd = random.Random(2)
+    docs = [(k, " ".join(rnd.choice(["a", "é", "word\n", "\tx"]) for _ in range(n))) for k, n in enumerate((0, 1, 31, 32, 33, 200))] + [(9, None), (10, "\n lead and trail \t" * 40)]
+    frame = spark.createDataFrame([(*d, "z") for d in docs], "doc_id long, text string, slot string")
+    for vocabulary in (None, __import__("public_tokenizers").path("byte_bpe_50k.json")):
+        rows = p.pack(frame, buckets=4, max_length=32, budget=100, texts=True, vocabulary=vocabulary).collect()
+        assert p.pack(frame, buckets=4, max_length=32, budget=100, vocabulary=vocabulary).count() == len(rows)
+        for i, t in docs:
+            mine = sorted((r.piece, r.n_tokens, r.text) for r in rows if r.doc_id == i)
+            if vocabulary is None:
+                assert [w for _, _, x in mine for w in brute.SPACED.findall(x)] == brute.SPACED.findall(t or "")
+                assert all(len(brute.SPACED.findall(x)) == n for _, n, x in mine)
+            else:
+                assert "".join(x for _, _, x in mine) == (t or "")

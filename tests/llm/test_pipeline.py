@@ -28,11 +28,12 @@ def test_stages_against_brute_force(spark, data):
     rows = [x for x, (i, n, c) in zip(rows, brute.jaccard(rows), strict=True) if not n or i == c]
     bench = [tuple(r) for r in spark.read.parquet(f"{data}/benchmark.parquet").select("item_id", "text").collect()]
     rows = [x for x, hit in zip(rows, brute.decontaminate(rows, bench), strict=True) if not hit[5]]
-    expected = {i: len(brute.SPACED.findall(redacted(t))) for i, t in rows}
+    expected = {i: brute.SPACED.findall(redacted(t)) for i, t in rows}
     found = {}
-    for r in corpus_pipeline.run(spark, data).collect():
-        found[r.doc_id] = found.get(r.doc_id, 0) + r.n_tokens
-    assert found == {i: n for i, n in expected.items() if n}
+    for r in sorted(corpus_pipeline.run(spark, data).collect(), key=lambda r: r.piece):
+        assert r.n_tokens == len(brute.SPACED.findall(r.text))
+        found.setdefault(r.doc_id, []).extend(brute.SPACED.findall(r.text))
+    assert found == {i: ws for i, ws in expected.items() if ws}
     assert len(found) < docs.count()
 
 
