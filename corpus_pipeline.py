@@ -2,7 +2,13 @@
 
 Every stage works on all that the one before kept, and its decisions take effect: documents without a known
 language go; of each group of near copies the least id stays; documents with benchmark windows go; secrets
-are replaced by a mark; what is left is cut and packed into batches.
+are replaced by a mark; what is left is cut and packed into batches, with the text of each piece.
+
+Defined cases
+    null or empty text: of no known language, so it goes. Null ids: kept and judged by their texts; of those with
+    the same words one stays. Texts of any length are taken whole. Repeated rows: one stays. Ties: the least id, then
+    text hash. Empty tables give an empty result. Columns beyond those of ``documents``, whatever their names, pass
+    through all stages but the last.
 """
 
 from __future__ import annotations
@@ -30,7 +36,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def length_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs)
+    return packing.pack(docs, texts=True)
 
 
 STAGES = [
