@@ -57,33 +57,46 @@ o AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::
 SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * chars_lost <= 50 * chars AS kept FROM o"""
 
 
-def _matches(kind: str, rank: int, pattern: str, least: int) -> str:
+def _cut(pattern: str, table: str) -> str:
+    """A text's pieces between the matches of a pattern, the matches and their first groups."""
     p = _q(pattern)
-    return rf"""SELECT rid, {rank} AS rank, '{kind}' AS kind, list_sum(list_transform(pieces[1:k], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:k - 1], lambda x: length(x))), 0) AS a, ms[k] AS run
-  FROM (SELECT rid, string_split_regex(t, '{p}') AS pieces, regexp_extract_all(t, '{p}', 0) AS ms, regexp_extract_all(t, '{p}', 1) AS vs FROM d WHERE regexp_matches(t, '{p}')), unnest(range(1, len(ms) + 1)) AS u(k) WHERE length(vs[k]) >= {least}"""
+    return f"SELECT rid, t, string_split_regex(t, '{p}') AS pieces, regexp_extract_all(t, '{p}', 0) AS ms, regexp_extract_all(t, '{p}', 1) AS vs FROM {table} WHERE regexp_matches(t, '{p}')"
 
 
-def _allowed(alphabet: str) -> str:
-    rules = [r if r != r"(.)\1{7}" else "|".join(("\\" + c if not c.isalnum() else c) + "{8}" for c in alphabet) for r in ALLOWED]
-    return " AND ".join(f"NOT regexp_matches(run, '{_q(r)}')" for r in rules)
+def _matches(kind: str, rank: int, pattern: str, least: int, table: str) -> str:
+    return f"""SELECT rid, {rank} AS rank, '{kind}' AS kind, k, list_sum(list_transform(pieces[1:k], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:k - 1], lambda x: length(x))), 0) AS a, ms[k] AS run
+  FROM ({_cut(pattern, table)}), unnest(range(1, len(ms) + 1)) AS u(k) WHERE length(vs[k]) >= {least}"""
+
+
+def _blanked(pattern: str, table: str, good: str, more: str = "") -> str:
+    """The table's texts with the good matches as line feeds."""
+    joined = f"array_to_string(list_transform(range(1, len(ms) + 1), lambda k: pieces[k] || CASE WHEN {good} THEN repeat(chr(10), length(ms[k])) ELSE ms[k] END), '') || pieces[len(pieces)]"
+    return f"SELECT rid, {joined} AS t FROM ({_cut(pattern, table)}) {more} UNION ALL SELECT rid, t FROM {table} WHERE NOT regexp_matches(t, '{_q(pattern)}')"
 
 
 def _secrets() -> str:
-    parts = [f"base AS ({' UNION ALL '.join(_matches(kind, k, pattern, least) for k, (kind, pattern, least) in enumerate(BASE))})"]
-    known = ["SELECT rid, a, length(run) AS n FROM base"]
+    every = "".join(sorted({c for _, alphabet, _ in CLASSES for c in alphabet}))
+    parts = [f"base AS ({' UNION ALL '.join(_matches(kind, k, pattern, least, 'd') for k, (kind, pattern, least) in enumerate(BASE))})"]
+    table = "d"
+    for k, (_, pattern, least) in enumerate(BASE):
+        parts.append(f"b{k} AS ({_blanked(pattern, table, f'length(vs[k]) >= {least}')})")
+        table = f"b{k}"
+    for k, rule in enumerate(ALLOWED):
+        rule = "|".join(("\\" + c if not c.isalnum() else c) + "{8}" for c in every) if rule == r"(.)\1{7}" else rule
+        parts.append(f"a{k} AS ({_blanked(f'({rule})', table, 'true')})")
+        table = f"a{k}"
     for k, (kind, alphabet, bits) in enumerate(CLASSES):
         pattern = "([" + "".join("\\" + c if c in "+/_-" else c for c in alphabet) + f"]{{{WINDOW},}})"
-        parts.append(f"c{k} AS (SELECT * FROM ({_matches(kind, len(BASE) + k, pattern, WINDOW)}) WHERE regexp_matches(run, '[0-9]') AND regexp_matches(run, '[A-Za-z]') AND {_allowed(alphabet)})")
-        parts.append(f"k{k} AS ({' UNION ALL '.join(known)})")
-        parts.append(f"f{k} AS (SELECT * FROM c{k} WHERE NOT EXISTS (SELECT 1 FROM k{k} WHERE k{k}.rid = c{k}.rid AND k{k}.a < c{k}.a + length(c{k}.run) AND c{k}.a < k{k}.a + k{k}.n))")
+        parts.append(f"f{k} AS (SELECT * FROM ({_matches(kind, len(BASE) + k, pattern, WINDOW, table)}) WHERE regexp_matches(run, '[0-9]') AND regexp_matches(run, '[A-Za-z]'))")
         parts.append(f"w{k} AS (SELECT rid, a, i, ch, count(*) AS n FROM (SELECT rid, a, i, unnest(string_split(substr(run, i, {WINDOW}), '')) AS ch FROM f{k}, unnest(range(1, length(run) - {WINDOW} + 2)) AS u(i)) GROUP BY ALL)")
         parts.append(f"e{k} AS (SELECT rid, a FROM (SELECT rid, a, i, log2({WINDOW}) - sum(n * log2(n)) / {WINDOW} AS bits FROM w{k} GROUP BY 1, 2, 3) GROUP BY 1, 2 HAVING round(max(bits), 9) >= {bits})")
         parts.append(f"s{k} AS (SELECT f{k}.* FROM f{k} SEMI JOIN e{k} USING (rid, a))")
-        known.append(f"SELECT rid, a, length(run) FROM s{k}")
-    every = " UNION ALL ".join(["SELECT * FROM base", *(f"SELECT * FROM s{k}" for k in range(len(CLASSES)))])
+        parts.append(f"c{k} AS ({_blanked(pattern, table, 'coalesce(list_contains(good, k), false)', f'LEFT JOIN (SELECT rid, list(k) AS good FROM s{k} GROUP BY 1) USING (rid)')})")
+        table = f"c{k}"
+    spans = " UNION ALL ".join(["SELECT * FROM base", *(f"SELECT * FROM s{k}" for k in range(len(CLASSES)))])
     name = "kind || ':' || a::BIGINT || ':' || (a + length(run))::BIGINT"
     numbers = ", ".join(f"coalesce(count(*) FILTER (kind = '{kind}'), 0)::BIGINT AS n_{kind}" for kind, _, _ in BASE)
-    return f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents), {', '.join(parts)}, al AS ({every}),
+    return f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents), {', '.join(parts)}, al AS ({spans}),
 g AS (SELECT rid, {numbers}, string_agg({name}, ',' ORDER BY a, rank) FILTER (rank < {len(BASE)}) AS b, string_agg({name}, ',' ORDER BY a, rank) AS s FROM al GROUP BY 1)
 SELECT doc_id, {', '.join(f'coalesce(n_{kind}, 0)::BIGINT AS n_{kind}' for kind, _, _ in BASE)}, sha256(coalesce(b, '')) AS base_sha256, coalesce(s, '') AS spans FROM d LEFT JOIN g USING (rid)"""
 

@@ -1,18 +1,20 @@
 """Secret scans in DataFrame expressions only.
 
-Fixed patterns give the base spans. Beyond them, long runs of a character class are candidates: a window
-slides over a run, its character counts change by one character in and one out, and with them the sum that
-Shannon's entropy needs; a run whose windows reach the class's threshold is a span, unless an allow-list
-pattern suppresses it or a base span covers part of it.
+Fixed patterns give the base spans. Beyond them, long runs of a character class are candidates. They are sought in the
+text with the base spans, and then the allow-list's stretches, blanked out by line feeds, so that what is known or
+harmless ends a run and the rest of it is judged by its own windows: a window slides over a run, its character counts
+change by one character in and one out, and with them the sum that Shannon's entropy needs. A run with a letter and a
+digit whose windows reach the class's threshold is a span, and is blanked out for the next class.
 
-A text's matches are placed without Python: the pieces between the matches and the matches themselves, both
-in order, have lengths whose running sum is where each match starts. Texts without a match, nearly all, cost
-one search per pattern.
+A text's matches are placed without Python: the pieces between the matches and the matches themselves, both in order,
+have lengths whose running sum is where each match starts. Texts without a match, nearly all, cost one search per
+pattern.
 
 Defined cases
-    null or empty text: no spans. Null ids and repeated rows are scanned like any other row. Texts of any
-    length are scanned whole. ``scan`` ignores other columns; ``redact`` passes them through, and a null text
-    stays null.
+    null or empty text: no spans. Null ids and repeated rows are scanned like any other row. Texts of any length are
+    scanned whole, in time proportional to their length. Ties: spans with one start come in the order of their kinds; a
+    window that just reaches the threshold counts. An empty table gives an empty result. ``scan`` ignores other columns;
+    ``redact`` passes them through, and a null text stays null.
 """
 
 from __future__ import annotations
@@ -36,14 +38,14 @@ CLASSES = (
     ("entropy_base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-", 3.7),
 )
 WINDOW = 20
-#: Runs that look random but aren't secret.
+#: Stretches that aren't secret, each blanked out of the text before candidates are sought.
 ALLOWED = (
     r"(?i)example|sample|dummy|placeholder|changeme|redacted",
-    r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
+    r"(?i)[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}",
     r"(.)\1{7}",
     r"(?i)abcdefgh|01234567|12345678|qwertyui",
-    r"^[A-Za-z]+([_/-][A-Za-z]+)*$",
 )
+BLANK = "\n"
 MARK = "[SECRET]"
 CHUNK = 512
 #: Windows of a run that are taken at a time.
@@ -51,28 +53,53 @@ STRETCH = 256
 _SPANS = "array<struct<start:int,end:int,text:string>>"
 
 
-def _placed(text: Column, pattern: str, measured: int) -> Column:
-    """Matches of a pattern as (start, end, text), those whose group 1 is long enough; offsets in code points."""
-    empty = F.lit(None).cast(_SPANS)
+def _matches(text: Column, pattern: str) -> tuple[Column, Column]:
+    """(matches as (piece before, match, its group 1), what stands after the last one) of a text that has one."""
+    whole, value = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+    pieces = F.split(text, pattern, -1)
+    zipped = F.zip_with(F.arrays_zip(F.slice(pieces, F.lit(1), F.size(whole)).alias("piece"), whole.alias("match")), value, lambda x, v: F.struct(x["piece"].alias("piece"), x["match"].alias("match"), v.alias("value")))
+    return zipped, F.element_at(pieces, -1)
 
-    def spans(found: Column) -> Column:
-        def chunk(acc: Column, parts: Column) -> Column:
-            inner = F.aggregate(parts, F.struct(acc["at"].alias("at"), F.array().cast(_SPANS).alias("out")), step)
-            return F.struct(inner["at"].alias("at"), F.concat(acc["out"], inner["out"]).alias("out"))
 
-        def step(acc: Column, x: Column) -> Column:
-            start = acc["at"] + F.length(x["piece"])
-            end = start + F.length(x["match"])
-            mine = F.when(F.length(x["value"]) >= measured, F.array(F.struct(start.alias("start"), end.alias("end"), x["match"].alias("text")))).otherwise(F.array().cast(_SPANS))
-            return F.struct(end.alias("at"), F.concat(acc["out"], mine).alias("out"))
+def _chunks(items: Column) -> Column:
+    """An array in stretches, so that folds over it don't copy all that they have gathered at every step."""
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / CHUNK).cast("int")), lambda k: F.slice(items, k * CHUNK + 1, F.lit(CHUNK)))
 
-        chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(found) - 1) / CHUNK).cast("int")), lambda k: F.slice(found, k * CHUNK + 1, F.lit(CHUNK)))
-        return F.aggregate(chunks, F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out")), chunk)["out"]
 
-    whole, value = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
-    pieces = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(whole))
-    zipped = F.zip_with(F.arrays_zip(pieces.alias("piece"), whole.alias("match")), value, lambda x, v: F.struct(x["piece"].alias("piece"), x["match"].alias("match"), v.alias("value")))
-    return F.coalesce(F.when(text.rlike(pattern), bind(zipped, spans)).otherwise(empty), F.array().cast(_SPANS))
+def _fold(items: Column, state: Column, step) -> Column:
+    """``step(state with at and out, item)`` over a long array; returns all of ``out`` in order."""
+    none = F.array().cast(_SPANS)
+
+    def chunk(acc: Column, part: Column) -> Column:
+        return bind(F.aggregate(part, F.struct(acc["at"].alias("at"), none.alias("out")), step), lambda inner: F.struct(inner["at"].alias("at"), F.concat(acc["out"], inner["out"]).alias("out")))
+
+    return F.aggregate(_chunks(items), F.struct(state.alias("at"), none.alias("out")), chunk)["out"]
+
+
+def _spans(found: Column, good) -> Column:
+    """(start, end, text) of the matches that are good; offsets in code points."""
+
+    def step(acc: Column, x: Column) -> Column:
+        start = acc["at"] + F.length(x["piece"])
+        end = start + F.length(x["match"])
+        mine = F.when(good(x), F.array(F.struct(start.alias("start"), end.alias("end"), x["match"].alias("text")))).otherwise(F.array().cast(_SPANS))
+        return F.struct(end.alias("at"), F.concat(acc["out"], mine).alias("out"))
+
+    return _fold(found, F.lit(0), step)
+
+
+def _placed(text: Column, pattern: str, measured: int) -> Column:
+    """Matches of a pattern as (start, end, text), those whose group 1 is long enough."""
+    none = F.array().cast(_SPANS)
+    found, _ = _matches(text, pattern)
+    return F.coalesce(F.when(text.rlike(pattern), bind(found, lambda x: _spans(x, lambda m: F.length(m["value"]) >= measured))).otherwise(none), none)
+
+
+def _blanked(text: Column, pattern: str, good) -> Column:
+    """The text with its good matches as so many line feeds."""
+    found, last = _matches(text, pattern)
+    joined = F.array_join(F.transform(found, lambda x: F.concat(x["piece"], F.when(good(x), F.repeat(F.lit(BLANK), F.length(x["match"]))).otherwise(x["match"]))), "")
+    return F.when(text.rlike(pattern), F.concat(joined, last)).otherwise(text)
 
 
 def _reaches(run: Column, alphabet: str, window: int, bits: float) -> Column:
@@ -113,19 +140,17 @@ def _reaches(run: Column, alphabet: str, window: int, bits: float) -> Column:
     return bind(F.transform(F.split(run, ""), place), searched)
 
 
-def _candidates(text: Column, base: Column, alphabet: str, bits: float, window: int, allowed: tuple[str, ...]) -> Column:
+def _without(text: Column, pattern: str, least: int) -> Column:
+    return bind(text, lambda t: _blanked(t, pattern, lambda x: F.length(x["value"]) >= least))
+
+
+def _class_pattern(alphabet: str, window: int) -> str:
     kind = "[" + "".join("\\" + c if c in "+/_-" else c for c in alphabet) + "]"
-    pattern = f"(?<!{kind})({kind}{{{window},}}+)"
+    return f"({kind}{{{window},}}+)"
 
-    def good(x: Column) -> Column:
-        run = x["text"]
-        fine = run.rlike("[0-9]") & run.rlike("[A-Za-z]")
-        for rule in allowed:
-            fine &= ~run.rlike(rule)
-        apart = ~F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
-        return F.when(fine & apart, _reaches(run, alphabet, window, bits)).otherwise(F.lit(False))
 
-    return F.filter(_placed(text, pattern, window), good)
+def _good(alphabet: str, bits: float, window: int):
+    return lambda x: x["match"].rlike("[0-9]") & x["match"].rlike("[A-Za-z]") & _reaches(x["match"], alphabet, window, bits)
 
 
 def _labelled(spans: Column, kind: str, rank: int) -> Column:
@@ -133,16 +158,34 @@ def _labelled(spans: Column, kind: str, rank: int) -> Column:
 
 
 def _found(documents: DataFrame, text_col: str, window: int, allowed: tuple[str, ...]) -> DataFrame:
-    """All columns and, as __secrets, (base spans by kind, base, all)."""
+    """All columns and base spans by kind, base ones and all."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = documents.withColumn("__text", text)
     rows = rows.select("*", *(_placed(F.col("__text"), pattern, least).alias(f"__{kind}") for kind, pattern, least in BASE))
     base = F.array_sort(F.concat(*(_labelled(F.col(f"__{kind}"), kind, k) for k, (kind, _, _) in enumerate(BASE))))
     rows = rows.withColumn("__base", base)
+    patterns = [_class_pattern(alphabet, window) for _, alphabet, _ in CLASSES]
+    # only texts with a long run of some class, few of all, are blanked and searched further
+    runs = F.lit(False)
+    for pattern in patterns:
+        runs = runs | F.col("__text").rlike(pattern)
+    rest = F.col("__text")
+    for _, pattern, least in BASE:
+        rest = _without(rest, pattern, least)
+    for rule in allowed:
+        rest = _without(rest, rule if "\\1" in rule else f"({rule})", 0)
+    rows = rows.withColumn("__rest", F.when(runs, rest).otherwise(F.lit("")))
     known = F.col("__base")
-    for k, (kind, alphabet, bits) in enumerate(CLASSES):
-        more = _candidates(F.col("__text"), known, alphabet, bits, window, allowed)
-        rows = rows.withColumn(f"__{kind}", _labelled(more, kind, len(BASE) + k))
+    none = F.array().cast(_SPANS)
+    for k, ((kind, alphabet, bits), pattern) in enumerate(zip(CLASSES, patterns, strict=True)):
+        text, good = F.col("__rest"), _good(alphabet, bits, window)
+        found, last = _matches(text, pattern)
+        judged = F.transform(found, lambda x: F.struct(x["piece"].alias("piece"), x["match"].alias("match"), good(x).alias("good")))  # noqa: B023
+        rows = rows.withColumn("__judged", F.when(text.rlike(pattern), judged)).withColumn("__last", F.when(text.rlike(pattern), last))
+        spans = F.coalesce(F.when(F.col("__judged").isNotNull(), _spans(F.col("__judged"), lambda x: x["good"])).otherwise(none), none)
+        rows = rows.withColumn(f"__{kind}", _labelled(spans, kind, len(BASE) + k))
+        joined = F.array_join(F.transform("__judged", lambda x: F.concat(x["piece"], F.when(x["good"], F.repeat(F.lit(BLANK), F.length(x["match"]))).otherwise(x["match"]))), "")
+        rows = rows.withColumn("__rest", F.when(F.col("__judged").isNotNull(), F.concat(joined, F.col("__last"))).otherwise(text)).drop("__judged", "__last")
         known = F.concat(known, F.col(f"__{kind}"))
     return rows.withColumn("__all", F.array_sort(known))
 
@@ -168,22 +211,18 @@ def redact(documents: DataFrame, *, window: int = WINDOW, allowed: tuple[str, ..
     documents have it, becomes the new length of a changed text."""
     found = _found(documents, text_col, window, allowed)
 
-    def apart(acc: Column, x: Column) -> Column:
-        last = F.element_at(acc, -1)
-        joined = F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"))))
-        fresh = F.concat(acc, F.array(F.struct(x["start"].alias("start"), x["end"].alias("end"))))
-        return F.when((F.size(acc) > 0) & (x["start"] <= F.coalesce(last["end"], F.lit(-1))), joined).otherwise(fresh)
-
-    def rest(runs: Column) -> Column:
-        before = F.transform(runs, lambda x, k: F.concat(_part(F.when(k > 0, F.get(runs, k - 1)["end"]).otherwise(F.lit(0)), x["start"]), F.lit(MARK)))
-        return F.concat(F.array_join(before, ""), _part(F.element_at(runs, -1)["end"], F.length("__text")))
+    def gap(acc: Column, x: Column) -> Column:
+        """What is kept before a span, if it doesn't overlap or touch the one before."""
+        fresh = F.when((x["start"] > acc["at"]) | (acc["at"] < 0), F.array(F.struct(F.greatest(acc["at"], F.lit(0)).alias("start"), x["start"].alias("end"), F.lit("").alias("text")))).otherwise(F.array().cast(_SPANS))
+        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.concat(acc["out"], fresh).alias("out"))
 
-    def _part(start: Column, end: Column) -> Column:
-        return F.col("__text").substr(start + 1, end - start)
+    def rest(characters: Column) -> Column:
+        kept = F.transform(_fold(F.col("__all"), F.lit(-1), gap), lambda g: F.concat(F.array_join(F.slice(characters, g["start"] + 1, g["end"] - g["start"]), ""), F.lit(MARK)))
+        end = F.array_max(F.transform("__all", lambda x: x["end"]))
+        return F.concat(F.array_join(kept, ""), F.array_join(F.slice(characters, end + 1, F.greatest(F.size(characters) - end, F.lit(0))), ""))
 
-    runs = F.aggregate("__all", F.array().cast("array<struct<start:int,end:int>>"), lambda acc, x: F.when(F.size(acc) == 0, F.array(F.struct(x["start"].alias("start"), x["end"].alias("end")))).otherwise(apart(acc, x)))
     hit = F.size("__all") > 0
-    changed = found.withColumn("__new", F.when(hit, bind(runs, rest)).otherwise(F.col(text_col).cast("string")))
+    changed = found.withColumn("__new", F.when(hit, bind(F.split("__text", ""), rest)).otherwise(F.col(text_col).cast("string")))
     out = []
     for name in documents.columns:
         if name == text_col:

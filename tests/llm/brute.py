@@ -131,21 +131,27 @@ def secrets(documents):
 def entropy_spans(text, classes, allowed, window=20):
     import math
 
-    text, known, out = text or "", [(a, b) for a, _, b, _ in base_secrets(text)], []
+    blank = lambda m: "\n" * len(m[0])
+    rest, out = text or "", []
+    rest = ASSIGN.sub(lambda m: blank(m) if len(m[1]) >= 6 else m[0], rest)
+    rest = re.sub("AKIA[A-Z0-9]{16,}", blank, rest)
+    rest = re.sub("[0-9a-f]{24,}", blank, rest)
+    for rule in allowed:
+        rest = re.sub(rule, blank, rest)
     for kind, alphabet, bits in classes:
-        fresh = []
-        for m in re.finditer(f"[{re.escape(alphabet)}]{{{window},}}", text):
+
+        def judged(m):
             run = m[0]
-            if not (re.search("[0-9]", run) and re.search("[A-Za-z]", run)) or any(re.search(r, run) for r in allowed):
-                continue
-            if any(a < m.end() and m.start() < b for a, b in known):
-                continue
+            if not (re.search("[0-9]", run) and re.search("[A-Za-z]", run)):
+                return run
             peak = 0
             for k in range(len(run) - window + 1):
                 part = run[k : k + window]
                 peak = max(peak, -sum(part.count(c) / window * math.log2(part.count(c) / window) for c in set(part)))
-            if round(peak, 9) >= bits:
-                fresh.append((m.start(), m.end()))
-                out.append((m.start(), kind, m.end()))
-        known += fresh
+            if round(peak, 9) < bits:
+                return run
+            out.append((m.start(), kind, m.end()))  # noqa: B023
+            return blank(m)
+
+        rest = re.sub(f"[{re.escape(alphabet)}]{{{window},}}", judged, rest)
     return out
