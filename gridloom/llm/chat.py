@@ -153,8 +153,8 @@ class _Ends:
         return np.concatenate([self.matrix.ravel(), self.scores]).tobytes()
 
 
-_SORTED = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("seq", pa.int64()), ("conv_id", pa.int64()), ("position", pa.int64()), ("text", pa.string()), ("ends", pa.binary())])
-_SORTED_SQL = "kind int, part int, seq long, conv_id long, position long, text string, ends binary"
+_SORTED = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("seq", pa.int64()), ("conv_id", pa.int64()), ("position", pa.int64()), ("tag", pa.string()), ("text", pa.string()), ("ends", pa.binary())])
+_SORTED_SQL = "kind int, part int, seq long, conv_id long, position long, tag string, text string, ends binary"
 
 
 def _summarise(shared):
@@ -169,11 +169,11 @@ def _summarise(shared):
                 if not kept or kept[-1][0] != conv:
                     kept = [*kept[:1], (conv, _Ends(model))]
                 kept[-1][1].add(model.lines(text)[1])
-            yield pa.RecordBatch.from_arrays([pa.array([0] * n, pa.int32()), pa.array([part] * n, pa.int32()), pa.array(np.arange(seq, seq + n)), batch.column("conv_id"), batch.column("position"), batch.column("text"), pa.nulls(n, pa.binary())], schema=_SORTED)
+            yield pa.RecordBatch.from_arrays([pa.array([0] * n, pa.int32()), pa.array([part] * n, pa.int32()), pa.array(np.arange(seq, seq + n)), batch.column("conv_id"), batch.column("position"), batch.column("tag"), batch.column("text"), pa.nulls(n, pa.binary())], schema=_SORTED)
             seq += n
         if kept:
             n = len(kept)
-            yield pa.RecordBatch.from_arrays([pa.array([1] * n, pa.int32()), pa.array([part] * n, pa.int32()), pa.array(range(n), pa.int64()), pa.array([c for c, _ in kept], pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.string()), pa.array([e.packed() for _, e in kept], pa.binary())], schema=_SORTED)
+            yield pa.RecordBatch.from_arrays([pa.array([1] * n, pa.int32()), pa.array([part] * n, pa.int32()), pa.array(range(n), pa.int64()), pa.array([c for c, _ in kept], pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.string()), pa.nulls(n, pa.string()), pa.array([e.packed() for _, e in kept], pa.binary())], schema=_SORTED)
 
     return run
 
@@ -238,11 +238,11 @@ def _decode(model_shared, cuts_shared):
     def out(pieces: list[tuple], model: Model, before: int | None, after: int | None) -> Iterator[tuple]:
         shown = np.concatenate([x[3] for x in pieces])
         states, at, role = viterbi(shown, model, before, after), 0, None if before is None else before // 2
-        for k, (conv, position, lines, _) in enumerate(pieces):
+        for k, (conv, position, lines, _, tag) in enumerate(pieces):
             mine = states[at : at + len(lines)]
             at += len(lines)
             text, begun, role = render(lines, mine, role, after is None and k == len(pieces) - 1)
-            yield conv, position, len(lines), [ROLES[s // 2] for s in mine], begun, text
+            yield conv, position, len(lines), [ROLES[s // 2] for s in mine], begun, text, tag
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, cuts = model_shared.value, cuts_shared.value
@@ -253,13 +253,13 @@ def _decode(model_shared, cuts_shared):
             done.extend(out(held, model, cuts[now[0]][0] if first else None, after))
 
         for batch in batches:
-            for part, conv, position, text in zip(*(batch.column(c).to_pylist() for c in ("part", "conv_id", "position", "text")), strict=True):
+            for part, conv, position, text, tag in zip(*(batch.column(c).to_pylist() for c in ("part", "conv_id", "position", "text", "tag")), strict=True):
                 if now is not None and now != (part, conv):
                     closed(cuts[now[0]][1] if part != now[0] else None)
                     held, first = [], part != now[0]
                 now = (part, conv)
                 lines, shown = model.lines(text)
-                held.append((conv, position, lines, shown))
+                held.append((conv, position, lines, shown, tag))
             if done:
                 yield _pieces(done)
                 done = []
@@ -272,25 +272,28 @@ def _decode(model_shared, cuts_shared):
 
 
 def _pieces(rows: list[tuple]) -> pa.RecordBatch:
-    conv, position, n, roles, begun, text = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(conv, pa.int64()), pa.array(position, pa.int64()), pa.array(n, pa.int32()), pa.array(roles, pa.list_(pa.string())), pa.array(begun, pa.list_(pa.string())), pa.array(text, pa.string())], names=["conv_id", "position", "n_lines", "line_roles", "turns", "rendered"])
+    conv, position, n, roles, begun, text, tag = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(conv, pa.int64()), pa.array(position, pa.int64()), pa.array(n, pa.int32()), pa.array(roles, pa.list_(pa.string())), pa.array(begun, pa.list_(pa.string())), pa.array(text, pa.string()), pa.array(tag, pa.string())], names=["conv_id", "position", "n_lines", "line_roles", "turns", "rendered", "tag"])
 
 
 def parse(pieces: DataFrame, known: DataFrame, *, ranges: int | None = None, turns: bool = True) -> DataFrame:
     """Per piece of ``pieces`` (conv_id, position, text): n_lines, line_roles, turns (roles of the turns that
     begin in it) and rendered. ``known`` (conv_id, position, text, role) teaches the model, a turn a row;
-    without ``turns`` the pieces' borders say nothing of the turns."""
+    without ``turns`` the pieces' borders say nothing of the turns. A text column ``tag``, where the pieces have one, is
+    handed through unseen."""
     spark = pieces.sparkSession
     small_batches(spark)
     model = spark.sparkContext.broadcast(train(known, turns))
     ranges = ranges or max(int(spark.conf.get("spark.sql.shuffle.partitions")), pieces.rdd.getNumPartitions())
-    rows = pieces.select(F.col("conv_id").cast("long"), F.col("position").cast("long"), F.col("text").cast("string"))
+    tag = F.col("tag") if (tagged := dict(pieces.dtypes).get("tag") == "string") else F.lit(None).cast("string").alias("tag")
+    rows = pieces.select(F.col("conv_id").cast("long"), F.col("position").cast("long"), tag, F.col("text").cast("string"))
     order = ["conv_id", "position", "text"]
     scratch = Scratch(spark)
     ordered = scratch.table(rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order).mapInArrow(_summarise(model), _SORTED_SQL), "ordered")
     cuts = spark.sparkContext.broadcast(_cuts(ordered.where("kind = 1").select("part", "seq", "conv_id", "ends").collect()))  # two rows a range
     again = ordered.where("kind = 0").repartition(ranges, "part").sortWithinPartitions("part", "seq")
-    return again.select("part", "conv_id", "position", "text").mapInArrow(_decode(model, cuts), "conv_id long, position long, n_lines int, line_roles array<string>, turns array<string>, rendered string")
+    found = again.select("part", "conv_id", "position", "tag", "text").mapInArrow(_decode(model, cuts), "conv_id long, position long, n_lines int, line_roles array<string>, turns array<string>, rendered string, tag string")
+    return found if tagged else found.drop("tag")
 
 
 #: How speakers are marked in the transcripts that ``transcripts`` writes, one style a conversation.
@@ -331,14 +334,15 @@ def half(conv_id: str) -> Column:
 
 
 def lines(rows: DataFrame) -> DataFrame:
-    """The transcripts of ``placed`` rows as lines (conv_id, position, text), without the turns' borders."""
-    cut = rows.select("conv_id", "line", F.posexplode(F.split("text", "\n")).alias("_k", "text"))
-    return cut.select("conv_id", (F.col("line") + F.col("_k")).alias("position"), "text")
+    """The transcripts of ``placed`` rows as lines (conv_id, position, text), without the turns' borders; the tag says
+    which row a line is from, for ``by_turn``."""
+    tag = F.concat_ws(":", F.col("line").cast("string"), F.col("position").cast("string"))
+    cut = rows.select("conv_id", "line", tag.alias("tag"), F.posexplode(F.split("text", "\n")).alias("_k", "text"))
+    return cut.select("conv_id", (F.col("line") + F.col("_k")).alias("position"), "tag", "text")
 
 
-def by_turn(parsed: DataFrame, rows: DataFrame) -> DataFrame:
+def by_turn(parsed: DataFrame) -> DataFrame:
     """What was found in the lines of each of the ``placed`` rows: n_lines, line_roles, turns, rendered."""
-    of = rows.select(F.col("conv_id").alias("_id"), F.col("position").alias("turn"), "line", F.explode(F.sequence("line", F.col("line") + F.size(F.split("text", "\n")) - 1)).alias("_at"))
-    met = parsed.join(of, F.col("conv_id").eqNullSafe(F.col("_id")) & (F.col("position") == F.col("_at")))
-    all_ = met.groupBy("conv_id", "line", "turn").agg(F.sort_array(F.collect_list(F.struct("position", "line_roles", "turns", "rendered"))).alias("_l"))
-    return all_.select("conv_id", F.col("turn").alias("position"), F.size("_l").alias("n_lines"), F.flatten("_l.line_roles").alias("line_roles"), F.flatten("_l.turns").alias("turns"), F.array_join("_l.rendered", "").alias("rendered"))
+    all_ = parsed.groupBy("conv_id", "tag").agg(F.sort_array(F.collect_list(F.struct("position", "line_roles", "turns", "rendered"))).alias("_l"))
+    turn = F.get(F.split("tag", ":"), F.lit(1)).cast("long")
+    return all_.select("conv_id", turn.alias("position"), F.size("_l").alias("n_lines"), F.flatten("_l.line_roles").alias("line_roles"), F.flatten("_l.turns").alias("turns"), F.array_join("_l.rendered", "").alias("rendered"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import chat, jaccard, language, line_rules, packing, secrets, substring, toxicity, weak_quality
 from . import decontaminate as decontamination
 from .oracle import TEXTS
+from .scratch import Scratch
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,8 +50,8 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     Each half of the conversations is parsed by a model that the roles of the other half taught. What was found is
     given by the turns that were written."""
     raw = chat.transcripts(_table(spark, sf_dir, "conversations"))
-    rows, half = chat.placed(raw), chat.half("conv_id")
-    parts = [chat.by_turn(chat.parse(chat.lines(rows.where(half == k)), raw.where(half != k), turns=False), rows.where(half == k)) for k in (0, 1)]
+    rows, half = Scratch(spark).table(chat.placed(raw), "placed"), chat.half("conv_id")
+    parts = [chat.by_turn(chat.parse(chat.lines(rows.where(half == k)), raw.where(half != k), turns=False)) for k in (0, 1)]
     found = parts[0].unionByName(parts[1])
     return found.select("conv_id", F.col("position").alias("turn"), "n_lines", F.array_join("line_roles", ",").alias("line_roles"), F.size("turns").alias("n_turns"), F.sha2("rendered", 256).alias("rendered_sha256"))
 

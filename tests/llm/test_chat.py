@@ -71,7 +71,7 @@ def test_turns_are_found_in_whole_texts(spark, unmarked, least_lines, least_star
         truth = [(role, k == 0) for role, x in said[r.conv_id] for k in range(len(x))]
         hits += [a == b for a, (b, _) in zip(r.line_roles, truth, strict=True)]
     rows = c.placed(raw)
-    found = [r for k in (0, 1) for r in c.by_turn(c.parse(c.lines(mine(rows, k)), mine(raw, 1 - k), turns=False), mine(rows, k)).collect()]
+    found = [r for k in (0, 1) for r in c.by_turn(c.parse(c.lines(mine(rows, k)), mine(raw, 1 - k), turns=False)).collect()]
     lines = {(r.conv_id, r.position): r for r in found}
     for i, turns in said.items():
         for k, (_, x) in enumerate(turns):
