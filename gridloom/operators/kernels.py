@@ -211,49 +211,54 @@ def gsea(stats: DataFrame, net: DataFrame, group: str, permutations: int = 200,
     return stats.select(group, "gene_id", "stat").groupBy(group).applyInPandas(run, f"{group} string, source string, size long, es double, nes double, pval double")
 
 
-def nearest(points: DataFrame, queries: DataFrame, k: int, key: str = "cell_id", vec: str = "vec", blocks: int = 8) -> DataFrame:
-    """The k nearest points (Euclidean; ties by key) of each query: (query, neighbour, distance, place).
-
-    Queries, a stated bounded set such as seeds, are broadcast; every block of points finds its own k best,
-    and the blocks' candidates, k a block and query, are merged by rank.
-    """
-    asked = queries.select(key, vec).toPandas()
-    ids = asked[key].to_numpy()
-    wanted = np.stack(asked[vec].to_numpy()).astype(np.float64) if len(asked) else np.zeros((0, 1))
+def _small_batches(frame: DataFrame, rows: int = 64) -> None:
+    """Batches of a few rows, as a row may hold two matrices; a smaller setting of the session stays."""
+    spark, name = frame.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)
 
-    def best(batches):
-        for part in batches:
-            if not len(part) or not len(ids):
-                continue
-            mine, names = np.stack(part[vec].to_numpy()).astype(np.float64), part[key].to_numpy()
-            d = np.sqrt(np.maximum(((wanted[:, None, :] - mine[None, :, :]) ** 2).sum(axis=2), 0.0)) if len(mine) * wanted.size < 5e7 else np.stack([np.sqrt(((mine - w) ** 2).sum(axis=1)) for w in wanted])
-            top = np.lexsort((np.broadcast_to(names, d.shape), d), axis=1)[:, :k]
-            yield pd.DataFrame({"query": np.repeat(ids, top.shape[1]), "neighbour": names[top].ravel(), "distance": np.take_along_axis(d, top, axis=1).ravel()})
 
-    found = points.select(key, vec).repartition(blocks).mapInPandas(best, "query long, neighbour long, distance double")
-    order = Window.partitionBy("query").orderBy("distance", "neighbour")
-    return found.withColumn("place", F.row_number().over(order).cast("long")).where(F.col("place") <= k)
-
-
-def _blocks(cells: DataFrame, label: str, key: str, vec: str, rows: int) -> DataFrame:
-    """Cells packed as matrices of about ``rows`` rows: block, ids, labels, vecs."""
+def _blocks(cells: DataFrame, label: str | None, key: str, vec: str, rows: int) -> DataFrame:
+    """Cells packed as matrices of about ``rows`` rows: block, ids, labels (empty without a label), vecs."""
     parts = max(1, -(-cells.count() // rows))
 
     def pack(part: pd.DataFrame) -> pd.DataFrame:
-        held = (part[key].to_numpy(np.int64), part[label].to_numpy(np.int64), np.stack(part[vec].to_numpy()).astype(np.float64))
+        held = (part[key].to_numpy(np.int64), part[label].to_numpy(np.int64) if label else np.zeros(0, dtype=np.int64), np.stack(part[vec].to_numpy()).astype(np.float64))
         return pd.DataFrame([[part["block"].iloc[0], *(x.tobytes() for x in held)]], columns=["block", "ids", "labels", "vecs"])
 
-    dealt = cells.select(key, label, vec, F.pmod(F.xxhash64(key), F.lit(parts)).alias("block"))
+    dealt = cells.select(key, *([label] if label else []), vec, F.pmod(F.xxhash64(key), F.lit(parts)).alias("block"))
     return dealt.groupBy("block").applyInPandas(pack, "block long, ids binary, labels binary, vecs binary")
 
 
+def nearest(points: DataFrame, queries: DataFrame, k: int, key: str = "cell_id", vec: str = "vec", *, rows: int = 512) -> DataFrame:
+    """The k nearest points (Euclidean; ties by key) of each query: (query, neighbour, distance, place).
+
+    Blocks of queries meet blocks of points; each pair gives a query's k best there, and these are merged by rank. The
+    cost is queries x points; nothing is collected.
+    """
+    _small_batches(points)
+
+    def best(batches):
+        for part in batches:
+            for r in part.itertuples(index=False):
+                ids, names = np.frombuffer(r.ids, dtype=np.int64), np.frombuffer(r.names, dtype=np.int64)
+                wanted, mine = np.frombuffer(r.vecs).reshape(len(ids), -1), np.frombuffer(r.others).reshape(len(names), -1)
+                d = np.stack([np.sqrt(((mine - w) ** 2).sum(axis=1)) for w in wanted])
+                top = np.lexsort((np.broadcast_to(names, d.shape), d), axis=1)[:, :k]
+                yield pd.DataFrame({"query": np.repeat(ids, top.shape[1]), "neighbour": names[top].ravel(), "distance": np.take_along_axis(d, top, axis=1).ravel()})
+
+    asked = _blocks(queries, None, key, vec, rows).select("ids", "vecs")
+    every = _blocks(points, None, key, vec, rows).select(F.col("ids").alias("names"), F.col("vecs").alias("others"))
+    found = asked.crossJoin(every).mapInPandas(best, "query long, neighbour long, distance double")
+    order = Window.partitionBy("query").orderBy("distance", "neighbour")
+    return found.withColumn("place", F.row_number().over(order).cast("long")).where(F.col("place") <= k)
+
+
 def silhouette(points: DataFrame, sample: DataFrame, label: str, key: str = "cell_id", vec: str = "vec", *, rows: int = 512) -> DataFrame:
     """Silhouette of the sampled cells, or all, against all cells: blocks of cells meet blocks of cells, each pair
     gives its sums of distances by label, and the sums meet in one aggregation. A cell alone in its label has 0.
     The cost is cells x cells; nothing is collected."""
-    spark, small = points.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(small)) <= 64:  # a row holds two matrices
-        spark.conf.set(small, 64)
+    _small_batches(points)
 
     def sums(batches):
         for part in batches:
