@@ -21,7 +21,7 @@ def load_and_filter(data: Dataset, subsets: dict, *, sample: str = "sample_id",
     kept = qc.large_groups(judged.where("failed_at is null"), sample, least_cells)
     out = data.subset(kept)
     genes = out.layer().groupBy("gene_id").agg(F.count("*").alias("n")).where(F.col("n") >= min_cells).select("gene_id")
-    return Dataset(out.obs.join(kept.drop(sample, "failed_at"), "cell_id"), out.var.join(genes, "gene_id", "left_semi"), out.counts.join(F.broadcast(genes), "gene_id", "left_semi"), out.tables), judged
+    return Dataset(out.obs.join(kept.drop(sample, "failed_at"), "cell_id"), out.var.join(genes, "gene_id", "left_semi"), out.counts.join(genes, "gene_id", "left_semi"), out.tables), judged
 
 
 def add_obs_metadata(data: Dataset, metadata: DataFrame, metadata_key: str, obs_key: str = "sample_id", **rules) -> Dataset:

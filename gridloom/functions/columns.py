@@ -92,6 +92,30 @@ def min_max(value: Column, by: Window) -> Column:
     return F.when(high > low, (value - low) / (high - low)).otherwise(F.lit(0.0))
 
 
+def ranked(rows: DataFrame, *wanted: tuple[Column, str, bool], parts: int = 32) -> DataFrame:
+    """Ranks over all rows, without one task that holds them all. ``wanted``: (value, less first; name; dense?).
+
+    Values are cut at about ``parts`` quantiles; a row's rank is that within its part, after the rows (or different
+    values) of the parts before. Equal values lie in one part, so the ranks are exact. Nulls come last. ``rows`` is read
+    for each rank: a written table.
+    """
+    out = rows
+    for value, name, dense in wanted:
+        out = out.withColumn("_v", value.cast("double"))
+        cuts = sorted(set(out.approxQuantile("_v", [k / parts for k in range(1, parts)], 1 / (4 * parts))))
+        part = F.when(F.col("_v").isNull(), F.lit(len(cuts) + 1)).otherwise(F.size(F.filter(F.array(*(F.lit(c) for c in cuts)), lambda c: c < F.col("_v"))) if cuts else F.lit(0))
+        out = out.withColumn("_p", part)
+        n = F.countDistinct("_v") if dense else F.count("*")
+        before, offsets = 0, []
+        for r in out.groupBy("_p").agg(n.alias("n")).orderBy("_p").collect():  # a row a part
+            offsets += [F.lit(r["_p"]), F.lit(before)]
+            before += r["n"]
+        order = Window.partitionBy("_p").orderBy(F.col("_v").asc_nulls_last())
+        offset = F.element_at(F.create_map(*offsets), F.col("_p")) if offsets else F.lit(0)
+        out = out.withColumn(name, (offset + (F.dense_rank() if dense else F.rank()).over(order)).cast("long")).drop("_v", "_p")
+    return out
+
+
 def top_k(rows: DataFrame, k: int, by: list[str], *order: Column, rank: str | None = None) -> DataFrame:
     """The first k rows of each group in a total order."""
     name = rank or "_row"

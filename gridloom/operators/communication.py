@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import ranked
+from ..sources.lineage import materialise
 from .pseudobulk import means
 
 EVENT = ["source", "target", "ligand", "receptor"]
@@ -34,7 +36,7 @@ def pair_scores(layer: DataFrame, obs: DataFrame, group: str, pairs: DataFrame,
     spread = stats.withColumn("weight", F.col("mean") / F.sum("mean").over(Window.partitionBy("gene_id"))).where(F.col("fraction") >= least_share)
     left = spread.select(F.col(group).alias("source"), F.col("gene_id").alias("ligand"), F.col("mean").alias("l"), F.col("weight").alias("lw"))
     right = spread.select(F.col(group).alias("target"), F.col("gene_id").alias("receptor"), F.col("mean").alias("r"), F.col("weight").alias("rw"))
-    met = left.join(F.broadcast(pairs), "ligand").join(right, "receptor").crossJoin(F.broadcast(overall))
+    met = left.join(pairs, "ligand").join(right, "receptor").crossJoin(F.broadcast(overall))
     root = F.sqrt(F.col("l") * F.col("r"))
     return met.select("source", "target", "ligand", "receptor", ((F.col("l") + F.col("r")) / 2).alias("lr_means"), (F.col("l") * F.col("r")).alias("expr_prod"), (F.col("lw") * F.col("rw")).alias("spec_weight"), F.try_divide(root, root + F.col("mu")).alias("lrscore"))
 
@@ -45,7 +47,7 @@ DEFAULT = ("cellphonedb", "natmi", "sca", "logfc")
 
 def _named(layer: DataFrame, pairs: DataFrame) -> DataFrame:
     genes = pairs.select(F.col("ligand").alias("gene_id")).union(pairs.select("receptor")).distinct()
-    return layer.join(F.broadcast(genes), "gene_id", "left_semi")
+    return layer.join(genes, "gene_id", "left_semi")
 
 
 def specificities(scores: DataFrame, layer: DataFrame, obs: DataFrame, group: str, pairs: DataFrame) -> DataFrame:
@@ -91,28 +93,32 @@ def permuted_pvals(scores: DataFrame, layer: DataFrame, obs: DataFrame, group: s
 def robust_ranks(scores: DataFrame, methods: tuple[str, ...] = DEFAULT, key: list[str] = EVENT) -> DataFrame:
     """Robust rank aggregation: magnitude_rank and specificity_rank over the methods' columns. Ranks, ties at their
     mean, are divided by the rows; the least tail of the sorted ranks' order statistics counts, times their number."""
-    every = Window.partitionBy(F.lit(0))
-    n = F.count("*").over(every)
+    sides = ([(METHODS[m][at], METHODS[m][at + 1]) for m in methods if METHODS[m][at]] for at in (0, 2))
+    sides = [list(columns) for columns in sides]
+    asked = sorted({c for columns in sides for c in columns})
+    value = {c: F.round(c, 9) * (1 if up else -1) for c, up in asked}
+    scores = materialise(scores)
+    n = scores.count()
+    held = ranked(scores, *((value[c], f"_rank_{c}", False) for c, _ in asked))
 
-    def share(c: str, up: bool) -> Column:
-        value = F.round(c, 9)
-        return (F.rank().over(every.orderBy(value.asc() if up else value.desc())) + (F.count("*").over(Window.partitionBy(value)) - 1) / 2) / n
+    def share(c: str) -> Column:
+        return (F.col(f"_rank_{c}") + (F.count("*").over(Window.partitionBy(value[c])) - 1) / 2) / F.lit(n)
 
     def rho(columns: list[tuple[str, bool]]) -> Column:
-        k, ranks = len(columns), F.array_sort(F.array(*(share(c, up) for c, up in columns)))
+        k, ranks = len(columns), F.array_sort(F.array(*(share(c) for c, _ in columns)))
         tail = lambda i: sum((math.comb(k, j) * F.pow(F.get(ranks, F.lit(i - 1)), F.lit(j)) * F.pow(1 - F.get(ranks, F.lit(i - 1)), F.lit(k - j)) for j in range(i, k + 1)), F.lit(0.0))
         return F.least(F.lit(1.0), k * F.array_min(F.array(*(tail(i) for i in range(1, k + 1)))))
 
-    sides = ([(METHODS[m][at], METHODS[m][at + 1]) for m in methods if METHODS[m][at]] for at in (0, 2))
-    return scores.select(*key, *(rho(columns).alias(name) for columns, name in zip(sides, ("magnitude_rank", "specificity_rank"), strict=True)))
+    return held.select(*key, *(rho(columns).alias(name) for columns, name in zip(sides, ("magnitude_rank", "specificity_rank"), strict=True)))
 
 
 def aggregate_ranks(scores: DataFrame, columns: list[tuple[str, bool]], key: list[str]) -> DataFrame:
     """Mean of the normalised ranks by several columns (name, less is better)."""
-    every = Window.partitionBy(F.lit(0))
-    n = F.count("*").over(every)
-    ranks = [F.rank().over(every.orderBy(F.round(c, 9).asc() if up else F.round(c, 9).desc())) / n for c, up in columns]
-    return scores.select(*key, (sum(ranks[1:], ranks[0]) / len(ranks)).alias("magnitude_rank"))
+    scores = materialise(scores)
+    n = scores.count()
+    held = ranked(scores, *((F.round(c, 9) * (1 if up else -1), f"_rank_{c}", False) for c, up in columns))
+    ranks = [F.col(f"_rank_{c}") / F.lit(n) for c, _ in columns]
+    return held.select(*key, (sum(ranks[1:], ranks[0]) / len(ranks)).alias("magnitude_rank"))
 
 
 def summary(events: DataFrame, score: str) -> DataFrame:
@@ -129,13 +135,13 @@ def route(events: DataFrame, lookup: DataFrame) -> DataFrame:
     """Route of a pair: looked up by the normalised (ligand, receptor), else both genes' families."""
     norm = lambda c: F.upper(F.regexp_replace(c, "[^A-Za-z0-9]", ""))
     side = lookup.groupBy(norm(F.col("ligand")).alias("_l"), norm(F.col("receptor")).alias("_r")).agg(F.min("pathway").alias("_p"))
-    met = events.withColumn("_l", norm(F.col("ligand"))).withColumn("_r", norm(F.col("receptor"))).join(F.broadcast(side), ["_l", "_r"], "left")
+    met = events.withColumn("_l", norm(F.col("ligand"))).withColumn("_r", norm(F.col("receptor"))).join(side, ["_l", "_r"], "left")
     return met.withColumn("route", F.coalesce("_p", F.concat_ws("-", gene_family(F.col("ligand")), gene_family(F.col("receptor"))))).drop("_l", "_r", "_p")
 
 
 def cross_filter(events: DataFrame, levels: DataFrame, source_level: str, target_level: str) -> DataFrame:
     """Events whose source's and target's dominant levels (cluster, level) are the ones allowed."""
-    of = lambda side, level: F.broadcast(levels.where(F.col("level") == level).select(F.col("cluster").alias(side)))
+    of = lambda side, level: levels.where(F.col("level") == level).select(F.col("cluster").alias(side))
     return events.join(of("source", source_level), "source", "left_semi").join(of("target", target_level), "target", "left_semi")
 
 
@@ -151,7 +157,7 @@ def paired_rescore(layer: DataFrame, obs: DataFrame, events: DataFrame, sample:
 
     def side(role: str, gene: str) -> DataFrame:
         genes = base.select("event", sample, F.col(role).alias(group), F.explode(F.split(gene, "_")).alias("gene_id"))
-        met = genes.join(per, [sample, group, "gene_id"], "left").join(F.broadcast(cells), [sample, group], "left")
+        met = genes.join(per, [sample, group, "gene_id"], "left").join(cells, [sample, group], "left")
         return met.groupBy("event", sample).agg(F.coalesce(F.max("n_cells"), F.lit(0)).alias(f"{role}_cells"), (F.sum(F.coalesce("s", F.lit(0.0))) / F.count("*") / F.max("n_cells")).alias(f"{role}_mean"), (F.min(F.coalesce("k", F.lit(0))) / F.max("n_cells")).alias(f"{role}_share"))
 
     met = base.join(side("source", "ligand"), ["event", sample]).join(side("target", "receptor"), ["event", sample])
@@ -168,7 +174,7 @@ def missingness(scored: DataFrame) -> DataFrame:
 
 def ligand_activity(targets: DataFrame, geneset: DataFrame) -> DataFrame:
     """Pearson correlation of each ligand's target scores (ligand, gene_id, score) with membership in a gene set."""
-    marked = targets.join(F.broadcast(geneset.select("gene_id", F.lit(1.0).alias("_in"))), "gene_id", "left")
+    marked = targets.join(geneset.select("gene_id", F.lit(1.0).alias("_in")), "gene_id", "left")
     return marked.groupBy("ligand").agg(F.corr("score", F.coalesce("_in", F.lit(0.0))).alias("activity"))
 
 

@@ -7,16 +7,19 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import ranked
+from ..sources.lineage import materialise
+
 
 def prepare(net: DataFrame, genes: DataFrame, least: int = 5) -> DataFrame:
     """Edges (source, target, weight) over known genes, weights of repeated edges averaged, sources with enough targets."""
-    common = net.join(F.broadcast(genes.select(F.col("gene_id").alias("target")).distinct()), "target", "left_semi").groupBy("source", "target").agg(F.avg("weight").alias("weight"))
+    common = net.join(genes.select(F.col("gene_id").alias("target")).distinct(), "target", "left_semi").groupBy("source", "target").agg(F.avg("weight").alias("weight"))
     big = common.groupBy("source").agg(F.count("*").alias("_n")).where(F.col("_n") >= least).select("source")
-    return common.join(F.broadcast(big), "source", "left_semi")
+    return common.join(big, "source", "left_semi")
 
 
 def _met(matrix: DataFrame, net: DataFrame, group: str) -> DataFrame:
-    return matrix.join(F.broadcast(net), matrix["gene_id"] == net["target"]).select(group, "source", "weight", "value")
+    return matrix.join(net, matrix["gene_id"] == net["target"]).select(group, "source", "weight", "value")
 
 
 def weighted_sum(matrix: DataFrame, net: DataFrame, group: str) -> DataFrame:
@@ -33,7 +36,7 @@ def univariate(matrix: DataFrame, net: DataFrame, group: str) -> DataFrame:
     """
     every = matrix.groupBy(group).agg(F.count("*").cast("double").alias("n"), F.sum("value").alias("sy"), F.sum(F.col("value") * F.col("value")).alias("syy"))
     part = _met(matrix, net, group).groupBy(group, "source").agg(F.sum("weight").alias("sx"), F.sum(F.col("weight") * F.col("weight")).alias("sxx"), F.sum(F.col("weight") * F.col("value")).alias("sxy"))
-    met = part.join(F.broadcast(every), group)
+    met = part.join(every, group)
     xy = F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")
     xx = F.col("sxx") - F.col("sx") * F.col("sx") / F.col("n")
     yy = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
@@ -93,9 +96,9 @@ def aucell(matrix: DataFrame, net: DataFrame, group: str, top: int) -> DataFrame
     order = Window.partitionBy(group).orderBy(F.desc("value"), "gene_id")
     ranked = matrix.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= top)
     size = net.groupBy("source").agg(F.count("*").alias("k"))
-    hit = ranked.join(F.broadcast(net.select(F.col("target").alias("gene_id"), "source")), "gene_id").groupBy(group, "source").agg(F.sum(F.lit(top) - F.col("_rank") + 1).alias("area"))
+    hit = ranked.join(net.select(F.col("target").alias("gene_id"), "source"), "gene_id").groupBy(group, "source").agg(F.sum(F.lit(top) - F.col("_rank") + 1).alias("area"))
     m = F.least("k", F.lit(top))
-    return hit.join(F.broadcast(size), "source").select(group, "source", F.try_divide(F.col("area").cast("double"), m * top - m * (m - 1) / 2).alias("score"))
+    return hit.join(size, "source").select(group, "source", F.try_divide(F.col("area").cast("double"), m * top - m * (m - 1) / 2).alias("score"))
 
 
 def consensus(scores: DataFrame, group: str, methods: int) -> DataFrame:
@@ -117,7 +120,7 @@ def running_sum(stats: DataFrame, net: DataFrame, group: str, low: int = 10, hig
     """
     order = Window.partitionBy(group).orderBy(F.desc("stat"), "gene_id")
     ranked = stats.withColumn("_rank", F.row_number().over(order)).withColumn("_n", F.count("*").over(Window.partitionBy(group)))
-    hits = ranked.join(F.broadcast(net.select(F.col("target").alias("gene_id"), "source").distinct()), "gene_id")
+    hits = ranked.join(net.select(F.col("target").alias("gene_id"), "source").distinct(), "gene_id")
     by = Window.partitionBy(group, "source")
     upto = by.orderBy("_rank").rowsBetween(Window.unboundedPreceding, 0)
     sized = hits.withColumn("_k", F.count("*").over(by)).where((F.col("_k") >= low) & (F.col("_k") <= high) & (F.col("_k") < F.col("_n")))
@@ -143,9 +146,8 @@ def joint(activity: DataFrame, gsea: DataFrame, alpha: float = 0.05) -> DataFram
     met = activity.join(gsea, ["cluster", "pathway"])
     same = F.signum("score") == F.signum("nes")
     sig = F.coalesce(F.col("padj") < alpha, F.lit(False))
-    every = Window.partitionBy(F.lit(0))
-    rank = lambda c: F.dense_rank().over(every.orderBy(F.desc(F.round(F.abs(c), 9))))
-    out = met.withColumn("sign_concordant", same).withColumn("supported_by_both", same & sig).withColumn("_sig", sig).withColumn("_r1", rank("score")).withColumn("_r2", rank("nes"))
+    out = materialise(met.withColumn("sign_concordant", same).withColumn("supported_by_both", same & sig).withColumn("_sig", sig))
+    out = ranked(out, (-F.round(F.abs("score"), 9), "_r1", True), (-F.round(F.abs("nes"), 9), "_r2", True))
     points = 1_000_000 * F.col("supported_by_both").cast("long") + 100_000 * F.col("sign_concordant").cast("long") + 10_000 * F.col("_sig").cast("long") + (10_000 - F.col("_r1")) + (10_000 - F.col("_r2"))
     return out.withColumn("joint_rank", points.cast("long")).drop("_sig", "_r1", "_r2")
 

@@ -85,7 +85,7 @@ def subset_by_clusters(cells: DataFrame, mapping: DataFrame, label: str) -> Data
     codes = cells.select(cluster_code(F.col(label)).alias("code")).distinct()
     if absent := [r["code"] for r in mapping.join(codes, "code", "left_anti").select("code").distinct().orderBy("code").limit(10).collect()]:
         raise ValueError(f"no cell is in the clusters {absent}")
-    return cells.withColumn("code", cluster_code(F.col(label))).join(F.broadcast(mapping), "code")
+    return cells.withColumn("code", cluster_code(F.col(label))).join(mapping, "code")
 
 
 def subset_summary(marked: DataFrame) -> DataFrame:
@@ -105,7 +105,7 @@ def overlay(parent: DataFrame, children: list[DataFrame], label: str) -> DataFra
 
 def rename(cells: DataFrame, mapping: DataFrame, label: str) -> DataFrame:
     """Labels renamed by Cnn code; equal new labels collapse into one."""
-    met = cells.withColumn("code", cluster_code(F.col(label))).join(F.broadcast(mapping.toDF("code", "_new")), "code", "left")
+    met = cells.withColumn("code", cluster_code(F.col(label))).join(mapping.toDF("code", "_new"), "code", "left")
     return met.withColumn(label, F.coalesce("_new", F.trim(F.regexp_replace(label, r"^C\d+:", "")))).drop("_new", "code")
 
 
@@ -118,7 +118,7 @@ def attach_layer(kept: DataFrame, raw: DataFrame, genes: DataFrame) -> DataFrame
     """Raw triples of the kept cells and genes as a further layer; a kept cell without raw counts is an error."""
     if kept.join(raw.select("cell_id").distinct(), "cell_id", "left_anti").limit(1).count():
         raise ValueError("kept cells have no raw counts")
-    return raw.join(kept.select("cell_id"), "cell_id", "left_semi").join(F.broadcast(genes.select("gene_id")), "gene_id", "left_semi")
+    return raw.join(kept.select("cell_id"), "cell_id", "left_semi").join(genes.select("gene_id"), "gene_id", "left_semi")
 
 
 def contrast_table(pseudobulk: DataFrame, wilcoxon: DataFrame, logreg: DataFrame, by: list[str]) -> DataFrame:
@@ -137,7 +137,7 @@ def annotate_with_fallback(events: DataFrame, primary: DataFrame, fallback: Data
     """A value by id, else by normalised name; right sides are made unique by the least value first."""
     one = primary.groupBy(id_key).agg(F.min(value).alias("_a"))
     two = fallback.groupBy(F.lower(F.trim(name_key)).alias("_n")).agg(F.min(value).alias("_b"))
-    met = events.join(F.broadcast(one), id_key, "left").join(F.broadcast(two), F.lower(F.trim(events[name_key])) == F.col("_n"), "left")
+    met = events.join(one, id_key, "left").join(two, F.lower(F.trim(events[name_key])) == F.col("_n"), "left")
     return met.withColumn(value, F.coalesce("_a", "_b")).drop("_a", "_b", "_n")
 
 

@@ -150,7 +150,7 @@ def metabolite_rescore(layer: DataFrame, obs: DataFrame, genes: DataFrame, event
     known = genes.select(F.col("gene_id")).distinct()
     placed = layer.join(obs.select("cell_id", sample, group), "cell_id")
     sensors = events.select(F.col("sensor").alias("gene_id")).distinct()
-    sensed = placed.join(F.broadcast(sensors), "gene_id", "left_semi").groupBy(sample, F.col(group).alias("target"), F.col("gene_id").alias("sensor")).agg(F.sum("value").alias("_s"), F.sum((F.col("value") > 0).cast("long")).alias("_k"))
+    sensed = placed.join(sensors, "gene_id", "left_semi").groupBy(sample, F.col(group).alias("target"), F.col("gene_id").alias("sensor")).agg(F.sum("value").alias("_s"), F.sum((F.col("value") > 0).cast("long")).alias("_k"))
     base = base.join(known.select(F.col("gene_id").alias("sensor"), F.lit(True).alias("_sensor")), "sensor", "left").join(sensed, [sample, "target", "sensor"], "left")
     over = lambda c: F.try_divide(F.coalesce(c, F.lit(0.0)), F.col("receiver_cells"))
     base = base.withColumn("receiver_score", F.when(F.col("_sensor"), over("_s"))).withColumn("receiver_share", F.when(F.col("_sensor"), over("_k"))).drop("_s", "_k")
@@ -162,7 +162,7 @@ def metabolite_rescore(layer: DataFrame, obs: DataFrame, genes: DataFrame, event
         listed = events.select("event", "source", F.explode(F.split("genes", r"\s*;\s*")).alias("gene_id")).where("gene_id != ''").distinct()
         detected = listed.join(known, "gene_id", "left_semi")
         number = listed.groupBy("event").agg(F.count("*").alias("n_genes")).join(detected.groupBy("event").agg(F.count("*").alias("n_detected")), "event", "left")
-        met = placed.join(F.broadcast(detected.withColumnRenamed("source", "_g")), "gene_id").where(F.col(group) == F.col("_g"))
+        met = placed.join(detected.withColumnRenamed("source", "_g"), "gene_id").where(F.col(group) == F.col("_g"))
         sums = met.groupBy(sample, "event").agg(F.sum("value").alias("_s"), F.countDistinct(F.when(F.col("value") > 0, F.col("cell_id"))).alias("_k"))
         base = base.join(number, "event", "left").withColumn("n_genes", F.coalesce("n_genes", F.lit(0).cast("long"))).withColumn("n_detected", F.coalesce("n_detected", F.lit(0).cast("long"))).join(sums, [sample, "event"], "left")
         some = F.col("n_detected") > 0
@@ -181,7 +181,7 @@ def ligand_links(targets: DataFrame, activity: DataFrame, geneset: DataFrame, n_
     order = F.desc(F.round("activity", 9))
     best = activity.where("activity is not null and not isnan(activity)").orderBy(order, "ligand").limit(n_ligands)
     ranked = best.withColumn("ligand_rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(order, "ligand")))
-    held = targets.join(F.broadcast(ranked.select("ligand", "ligand_rank")), "ligand").join(F.broadcast(geneset.select("gene_id")), "gene_id", "left_semi").where("score > 0")
+    held = targets.join(F.broadcast(ranked.select("ligand", "ligand_rank")), "ligand").join(geneset.select("gene_id"), "gene_id", "left_semi").where("score > 0")
     place = F.row_number().over(Window.partitionBy("ligand").orderBy(F.desc(F.round("score", 9)), "gene_id"))
     return held.withColumn("link_rank", place).where(F.col("link_rank") <= n_targets).select("ligand", "gene_id", "score", F.col("ligand_rank").cast("long").alias("ligand_rank"), F.col("link_rank").cast("long").alias("link_rank"))
 
@@ -192,6 +192,6 @@ def sender_focused(layer: DataFrame, obs: DataFrame, group: str, sender: str, re
     share = layer.where("value > 0").join(obs.select("cell_id", group), "cell_id").groupBy(group, "gene_id").agg(F.count("*").alias("_k")).join(sizes, group).where(F.col("_k") / F.col("_n") >= least_share)
     of = lambda name, c: share.where(F.col(group) == name).select(F.col("gene_id").alias(c))
     ligands = pairs.join(of(sender, "ligand"), "ligand", "left_semi").join(of(receiver, "receptor"), "receptor", "left_semi").select("ligand").distinct()
-    held = targets.join(F.broadcast(ligands), "ligand", "left_semi")
+    held = targets.join(ligands, "ligand", "left_semi")
     activity = communication.ligand_activity(held, geneset)
     return activity, ligand_links(held, activity, geneset, n_ligands, n_targets)

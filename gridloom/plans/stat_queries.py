@@ -238,9 +238,9 @@ def compaction_cosine(v: Views):
     return cosines(v).withColumn("cosine", F.round("cosine", 6))
 
 
-@query("compaction_pass", _COS + ", t AS (SELECT least(0.98, greatest(-0.5, quantile_cont(cosine, 0.9)))::DOUBLE AS threshold FROM c) SELECT a, b, round(threshold, 6) AS threshold, cosine >= threshold AS passes FROM c, t")
+@query("compaction_pass", _COS + ", t AS (SELECT least(0.98, greatest(0.7, quantile_cont(cosine, 0.9)))::DOUBLE AS threshold FROM c) SELECT a, b, round(threshold, 6) AS threshold, cosine >= threshold AS passes FROM c, t")
 def compaction_pass(v: Views):
-    return selection.adaptive_pass(cosines(v), floor=-0.5).select("a", "b", F.round("threshold", 6).alias("threshold"), "passes")
+    return selection.adaptive_pass(cosines(v)).select("a", "b", F.round("threshold", 6).alias("threshold"), "passes")
 
 
 @query("compacted_clusters")

@@ -47,3 +47,19 @@ def test_paired_effects(spark):
     assert (first.n_a, first.n_b, first.mean_a, first.mean_b, first.median_a, first.median_b, first.delta, first.u) == (4, 3, 6.5, 2.0, 6.5, 2.0, 4.5, 12.0)
     assert math.isclose(first.pval, 2 / 35) and math.isclose(first.padj, 4 / 35)  # one order of 35 on either side
     assert found["e2"].u == 4.0 and math.isclose(found["e2"].pval, 1.0) and found["e2"].padj == 1.0
+
+
+def test_ranks_over_many_parts(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from gridloom.functions.columns import ranked
+
+    rows = spark.range(500).select("id", F.when(F.col("id") % 50 == 7, None).otherwise((F.col("id") * 37 % 91).cast("double")).alias("x"))
+    every = Window.partitionBy(F.lit(0)).orderBy(F.col("x").asc_nulls_last())
+    want = {r.id: (r.a, r.b) for r in rows.select("id", F.rank().over(every).alias("a"), F.dense_rank().over(every).alias("b")).collect()}
+    got = {r.id: (r.a, r.b) for r in ranked(rows, (F.col("x"), "a", False), (F.col("x"), "b", True), parts=8).collect()}
+    assert got == want
+    assert ranked(rows.limit(0), (F.col("x"), "a", False)).count() == 0
+    one = rows.select("id", F.lit(1.0).alias("x"))
+    assert {r.a for r in ranked(one, (F.col("x"), "a", False)).collect()} == {1}
