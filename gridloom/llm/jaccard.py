@@ -267,21 +267,23 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(hashes[part]), pa.array(keys[part]), pa.array((meta[part] >> 6 & 0xFFFFFFF).astype(np.int32)), pa.array((meta[part] & 0x3F).astype(np.int32)), pa.array((meta[part] >> 34 & 0xFFFFFFF).astype(np.int32))], names=["h", "key", "n", "m", "place"])
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _joined(column: pa.Array) -> Iterator[bytes]:
     """Texts as lower-case words joined by one space."""
+    for _, _, words in _blocks(column):
+        text, ends = words.joined()
+        text = tk.bytes_lower(text)
+        yield from (text[a:b] for a, b in zip(ends, ends[1:], strict=False))
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = []
-        for _, _, words in _blocks(batch.column("text")):
-            text, ends = words.joined()
-            text = tk.bytes_lower(text)
-            out += [text[a:b] for a, b in zip(ends, ends[1:], strict=False)]
-        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("guard"), pa.array(out, pa.binary())], names=["key", "guard", "words"])
+        yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(list(_joined(batch.column("text"))), pa.binary())], names=["key", "words"])
 
 
 def _exact_sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            exact = [_exact(x.as_py(), size) for x in batch.column("words")]
+            exact = [_exact(x, size) for x in _joined(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("guard"), pa.array(exact, pa.binary())], names=["key", "guard", "exact"])
 
     return run
@@ -385,8 +387,8 @@ class _Join:
         2**64, so that they go to the driver."""
         mixed = texts.groupBy("key").count().where("count > 1").select("key")
         mixed = self.scratch.table(texts.join(mixed, "key", "left_semi").drop("n"), "mixed")
-        words = chosen(self.rows, mixed).dropDuplicates(["key", "guard"]).select("key", "guard", "text").mapInArrow(_texts, "key long, guard binary, words binary")
-        sets = self.scratch.table(words.mapInArrow(_exact_sets(self.size), "key long, guard binary, exact binary"), "exact")
+        texts = chosen(self.rows, mixed).dropDuplicates(["key", "guard"]).select("key", "guard", "text")
+        sets = self.scratch.table(texts.mapInArrow(_exact_sets(self.size), "key long, guard binary, exact binary"), "exact")
         wrong = sets.groupBy("key").agg(F.min("exact").alias("_first"), F.max("exact").alias("_last")).where("_first != _last").select("key", "_first")
         out: dict[int, dict[bytes, int]] = {}
         self.scratch.drop("mixed")
@@ -422,8 +424,8 @@ class _Join:
             self.scratch.drop(f"{name}-{done}")
         nodes = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
         firsts = self.scratch.table(self.classes.join(nodes, "key", "left_semi").select("key", "doc_id", "th"), f"{name}-firsts")
-        words = chosen(self.rows, firsts).dropDuplicates(["key"]).select("key", F.lit(None).cast("binary").alias("guard"), "text").mapInArrow(_texts, "key long, guard binary, words binary")
-        words = self.scratch.table(words.drop("guard"), f"{name}-words")
+        words = chosen(self.rows, firsts).dropDuplicates(["key"]).select("key", "text").mapInArrow(_texts, "key long, words binary")
+        words = self.scratch.table(words, f"{name}-words")
         sides = self._sides(pairs, words, "words", ("left", "right")).select("a", "b", "left", "right")
         links = self.scratch.table(sides.mapInArrow(_verify(self.size, self.share), "a long, b long"), f"{name}-links")
         self.scratch.drop(f"{name}-words")
@@ -442,8 +444,7 @@ class _Join:
     def _often_enough(self, pairs: DataFrame, name: str) -> DataFrame:
         """Pairs (a, b, m) whose prefixes share m shingles at least."""
         pairs = self.scratch.table(pairs, f"{name}-first")
-        nodes = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-        held = self.postings.join(nodes, "key", "left_semi").groupBy("key").agg(F.collect_list("h").alias("hs"))  # no longer than a document
+        held = self.postings.groupBy("key").agg(F.collect_list("h").alias("hs"))  # no longer than a document
         self.hubs = {x: heavy_keys(pairs, x) for x in "ab"}
         return self._sides(pairs, held, "hs", ("left", "right")).where("size(array_intersect(left, right)) >= m").select("a", "b")
 
