@@ -21,7 +21,7 @@ Scale
       search then leaves out pairs that are connected already: a large group of near copies costs its size,
       not its square, and no link between different components is lost. ``link_pairs`` and ``link_counts`` do
       form every pair: their cost is that of all links.
-    * Estimated frequencies come from all documents: shingles found twice or more in a run of 2**22 of one
+    * Estimated frequencies come from all documents: shingles found twice or more in a run of 2**21 of one
       task. They only order the prefixes, so the table is bounded (``HEAVY`` entries) without touching results.
 
 Defined cases
@@ -52,7 +52,8 @@ from .texts import chosen, keyed, sifted
 HEAVY = 1 << 20
 SPREAD = 20_000
 MOST_MATCHES = 8
-RUN = 1 << 22
+#: Shingles that a task counts at a time, and prefix entries that it sends at a time.
+RUN, SEND = 1 << 21, 1 << 19
 #: Cost of comparing one shingle of a candidate, with reading one entry of a list as 1.
 COMPARE = 0.25
 
@@ -237,7 +238,7 @@ def _send(size: int, share: tuple[int, int], bits: int, frequent, moved):
                 where = np.where(wide, tk.mix(chosen_ ^ np.uint64(key & (2**64 - 1))), chosen_) >> np.uint64(64 - bits)
                 held.append((where.astype(np.int64), chosen_, np.full(len(chosen_), key, dtype=np.int64), wide.astype(np.int64) << 62 | np.arange(len(chosen_), dtype=np.int64) << 34 | len(values) << 6 | matches))
                 waiting += len(chosen_)
-                if waiting >= RUN:
+                if waiting >= SEND:
                     yield from out(held)
                     held, waiting = [], 0
         if held:
