@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .model import Dataset
 from .operators import enrichment, merge, pseudobulk, qc, rounds
 from .sources.files import load_dataset, read_gmt, read_modules, read_result_folder, save_dataset
+from .sources.lineage import materialise
 
 __all__ = ["add_obs_metadata", "enrichment_cluster", "enrichment_de_from_tables", "load_and_filter", "load_dataset", "merge_datasets", "module_score", "rename_idents", "save_dataset", "subset_by_cluster_mapping"]
 
@@ -74,12 +75,9 @@ def enrichment_de_from_tables(spark, folder: str, gmt: str, stats: tuple[str, ..
 
 def module_score(data: Dataset, modules: str, group: str, **options) -> tuple[DataFrame, DataFrame]:
     """Scores per cell of every module of a file, and their summary by group."""
-    rows = read_modules(data.obs.sparkSession, modules)
-    sets: dict[str, list[str]] = {}
-    for r in rows.collect():
-        sets.setdefault(r["source"], []).append(r["target"])
-    layer = qc.lognorm(data.layer())
-    scored = data.obs.select("cell_id", group)
-    for name in sorted(sets):
-        scored = scored.join(enrichment.module_score(layer, data.obs, sorted(sets[name]), **options).withColumnRenamed("score", name), "cell_id")
-    return scored, pseudobulk.score_summary(scored, group, sorted(sets))
+    rows = materialise(read_modules(data.obs.sparkSession, modules))
+    names = sorted(r["source"] for r in rows.select("source").distinct().collect())  # modules are a dimension
+    long = enrichment.module_scores(qc.lognorm(data.layer()), data.obs, rows, **options)
+    wide = long.groupBy("cell_id").pivot("source", names).agg(F.first("score"))
+    scored = data.obs.select("cell_id", group).join(wide, "cell_id")
+    return scored, pseudobulk.score_summary(scored, group, names)

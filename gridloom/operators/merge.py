@@ -18,9 +18,23 @@ def key_report(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return met.agg(F.sum(F.col("_r").isNull().cast("long")).alias("missing_metadata"), F.sum(F.col("_l").isNull().cast("long")).alias("unused_metadata"), F.sum((F.coalesce("_r", F.lit(0)) > 1).cast("long")).alias("repeated_keys"))
 
 
+#: Names that mean the cells' own ids.
+CELL_KEYS = ("obs_names", "obs_name", "index", "cell_id", "barcode_id")
+
+
+def resolve_key(columns: list[str], key: str) -> str:
+    """The column that a key means: itself, or for one of the cells' ids, in any case, ``cell_id``."""
+    if key in columns:
+        return key
+    if key.strip().lower() in CELL_KEYS and "cell_id" in columns:
+        return "cell_id"
+    raise KeyError(f"no column {key!r} among {sorted(columns)[:20]}")
+
+
 def add_metadata(obs: DataFrame, metadata: DataFrame, obs_key: str, metadata_key: str, *, exact: bool = True, allow_missing: bool = False, overwrite: bool = False) -> DataFrame:
     """Validated left join of columns: unique right keys always; key sets that match both ways if ``exact``;
     no nulls after the join unless ``allow_missing``; existing columns only with ``overwrite``."""
+    obs_key = resolve_key(obs.columns, obs_key)
     columns = [c for c in metadata.columns if c != metadata_key]
     taken = [c for c in columns if c in obs.columns]
     if taken and not overwrite:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import code_of_rank
 from .merge import relabel_by_size
 
 
@@ -58,6 +59,17 @@ def active_labels(rounds: DataFrame, labels: DataFrame) -> DataFrame:
     return labels.join(F.broadcast(rounds.where("active").select("round_id")), "round_id", "left_semi")
 
 
+def refreshed(rounds: DataFrame, labels: DataFrame, cells: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(labels, display) of all rounds for a subset of the cells: labels of the others go, and sizes, order and display
+    labels of each round are computed anew. Rounds without a label left have no rows."""
+    kept = labels.join(cells.select("cell_id").distinct(), "cell_id", "left_semi").join(rounds.select("round_id"), "round_id", "left_semi")
+    sizes = kept.groupBy("round_id", "cluster_id").agg(F.count("*").alias("n_cells"))
+    order = Window.partitionBy("round_id").orderBy(F.desc("n_cells"), "cluster_id")
+    ranked = sizes.withColumn("cluster_rank", (F.row_number().over(order) - 1).cast("long"))
+    code = code_of_rank(F.col("cluster_rank"))
+    return kept, ranked.withColumn("code", code).withColumn("display", F.concat(code, F.lit(": "), F.col("cluster_id").cast("string")))
+
+
 def display(labels: DataFrame) -> DataFrame:
     """Sizes, order and display of one round's labels (cell_id, cluster_id): Cnn by size, then id."""
     return relabel_by_size(labels, "cluster_id")

@@ -206,6 +206,27 @@ def community_labels(v: Views):
     return selection.label_propagation(near.select(F.col("query").alias("a"), F.col("neighbour").alias("b"), (1.0 / (1.0 + F.col("distance"))).alias("weight"))).select("node", "community")
 
 
+@query("subset_refresh", "--with l AS (SELECT 'r0' AS round_id, cell_id, cluster_id FROM obs UNION ALL SELECT 'r1', cell_id, condition FROM obs), n AS (SELECT round_id, cluster_id, count(*) AS n_cells FROM l WHERE cell_id % 3 = 0 GROUP BY 1, 2) SELECT round_id, cluster_id, n_cells, row_number() OVER (PARTITION BY round_id ORDER BY n_cells DESC, cluster_id) - 1 AS cluster_rank FROM n")
+def subset_refresh(v: Views):
+    labels = v.obs.select(F.lit("r0").alias("round_id"), "cell_id", "cluster_id").unionByName(v.obs.select(F.lit("r1").alias("round_id"), "cell_id", F.col("condition").alias("cluster_id")))
+    table = v.spark.createDataFrame([("r0",), ("r1",), ("r2",)], "round_id string")
+    return rounds.refreshed(table, labels, v.obs.where("cell_id % 3 = 0"))[1].select("round_id", "cluster_id", "n_cells", "cluster_rank")
+
+
+_MODULES = """--with mu AS (SELECT gene_id, sum(value) / (SELECT count(*) FROM obs) AS m FROM counts GROUP BY 1), b AS (SELECT gene_id, ntile(5) OVER (ORDER BY m, gene_id) AS bin FROM mu),
+s AS (SELECT DISTINCT p_type AS source, p_brand AS gene_id FROM part WHERE p_size <= 2), mine AS (SELECT source, gene_id, bin FROM s JOIN b USING (gene_id)), u AS (SELECT DISTINCT source, bin FROM mine),
+c AS (SELECT source, gene_id, row_number() OVER (PARTITION BY source, bin ORDER BY md5('0|' || gene_id), gene_id) AS r FROM u JOIN b USING (bin) WHERE (source, gene_id) NOT IN (SELECT source, gene_id FROM mine)),
+g AS (SELECT source, gene_id, 1 AS i FROM mine UNION ALL SELECT source, gene_id, 0 FROM c WHERE r <= 4), z AS (SELECT source, sum(i) AS a, sum(1 - i) AS k FROM g GROUP BY 1),
+x AS (SELECT cell_id, source, sum(CASE WHEN i = 1 THEN value ELSE 0 END) AS x, sum(CASE WHEN i = 0 THEN value ELSE 0 END) AS y FROM counts JOIN g USING (gene_id) GROUP BY 1, 2)
+SELECT cell_id, source, round(coalesce(x, 0) / a - CASE WHEN k > 0 THEN coalesce(y, 0) / k ELSE 0 END, 6) AS score FROM (SELECT cell_id, source FROM obs, (SELECT DISTINCT source FROM s)) LEFT JOIN x USING (cell_id, source) JOIN z USING (source)"""
+
+
+@query("module_scores", _MODULES)
+def module_scores(v: Views):
+    modules = v.table("part").where("p_size <= 2").select(F.col("p_type").alias("source"), F.col("p_brand").alias("target"))
+    return enrichment.module_scores(v.counts, v.obs, modules).withColumn("score", F.round("score", 6))
+
+
 _TESTED, _SCORED = ORACLES["wilcoxon_levels"].split("\nSELECT cluster_id, gene_id, round(z, 5) AS score, round(")
 _RECEIVER = f"""{_TESTED}, pv AS (SELECT cluster_id, gene_id, {_SCORED.split(", 5) AS pval")[0]} AS pval, ka / n1 AS pct_a, kb / n2 AS pct_b FROM w),
 o AS (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY pval, gene_id) AS rn, count(*) OVER (PARTITION BY cluster_id) AS m FROM pv),

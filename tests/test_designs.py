@@ -137,3 +137,24 @@ def test_projection(spark):
     with pytest.raises(KeyError):
         rounds.project(table, labels, "r9", "X_two")
     assert spark.range(1).select(rounds.stamp().alias("t")).first().t.endswith("Z")
+
+
+def test_modules_at_once_are_those_one_by_one(spark):
+    rng = np.random.default_rng(8)
+    layer = spark.createDataFrame([(c, f"g{g}", float(rng.integers(1, 9))) for c in range(12) for g in range(30) if rng.random() < 0.6], "cell_id long, gene_id string, value double")
+    obs = spark.range(13).withColumnRenamed("id", "cell_id")
+    sets = {"a": ["g1", "g2", "g7"], "b": ["g2", "g20"], "none": ["x"]}
+    found = {(r.cell_id, r.source): r.score for r in enrichment.module_scores(layer, obs, spark.createDataFrame([(s, g) for s, of in sets.items() for g in of], "source string, target string")).collect()}
+    assert len(found) == 39 and all(found[c, "none"] == 0 for c in range(13))
+    for name in ("a", "b"):
+        for r in enrichment.module_score(layer, obs, sets[name]).collect():
+            assert math.isclose(found[r.cell_id, name], r.score, abs_tol=1e-9)
+
+
+def test_keys_and_refreshed_rounds(spark):
+    assert merge.resolve_key(["cell_id", "sex"], "obs_names") == "cell_id" and merge.resolve_key(["index", "cell_id"], "index") == "index"
+    with pytest.raises(KeyError):
+        merge.resolve_key(["cell_id"], "sex")
+    labels = spark.createDataFrame([("r0", k, "ab"[k > 2]) for k in range(9)], "round_id string, cell_id long, cluster_id string")
+    kept, shown = rounds.refreshed(spark.createDataFrame([("r0",)], "round_id string"), labels, spark.createDataFrame([(0,), (1,), (8,)], "cell_id long"))
+    assert kept.count() == 3 and [(r.display, r.n_cells) for r in shown.orderBy("cluster_rank").collect()] == [("C00: a", 2), ("C01: b", 1)]
