@@ -437,7 +437,7 @@ class _Join:
         most with."""
         shared = self.postings.groupBy("key").agg(F.count("*").alias("met"), F.first("n").alias("n"))
         centre = shared.select("key", (F.col("met") / F.col("n")).alias("central"))
-        best = self.postings.join(centre, "key").groupBy("h").agg(F.max(F.struct("central", "key", "n", "m", "place")).alias("best"))
+        best = self.postings.join(centre.hint("merge"), "key").groupBy("h").agg(F.max(F.struct("central", "key", "n", "m", "place")).alias("best"))
         met = spread_join(self.postings, best, "h", self.common, by="key").where(f"key != best.key and {self._fits('', 'best.')}")
         each = met.groupBy("key", F.col("best.key").alias("centre"), F.col("best.central").alias("central")).agg(F.count("*").alias("count"), F.first(F.least("m", "best.m")).alias("asked"))
         return each.where("count >= asked").groupBy("key").agg(F.max(F.struct("count", "central", "centre")).alias("best")).select(F.col("key").alias("a"), F.col("best.centre").alias("b"))
@@ -451,7 +451,7 @@ class _Join:
 
     def across(self, roots: DataFrame) -> DataFrame:
         """All candidate pairs of classes that aren't connected yet."""
-        placed = self.scratch.table(self.postings.join(roots.toDF("key", "root"), "key", "left").withColumn("root", F.coalesce("root", "key")), "rooted")
+        placed = self.scratch.table(self.postings.join(roots.toDF("key", "root").hint("merge"), "key", "left").withColumn("root", F.coalesce("root", "key")), "rooted")
         self.scratch.drop("postings")
         self.postings = placed
         parts = placed.groupBy("h", "root").count().groupBy("h").agg(F.count("*").alias("parts"), F.max(F.struct("count", "root")).alias("main")).where("parts > 1").select("h", F.col("main.root").alias("main"))
@@ -485,7 +485,7 @@ class _Join:
     def components(self) -> DataFrame:
         """(key, root, component_id) of every class; root tells components apart that have the same least id."""
         roots = connect(self.links())
-        joined = self.classes.select("key", "doc_id").join(roots.toDF("key", "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+        joined = self.classes.select("key", "doc_id").join(roots.toDF("key", "root").hint("merge"), "key", "left").withColumn("root", F.coalesce("root", "key"))
         joined = self.scratch.table(joined, "joined")
         least = joined.groupBy("root").agg(F.min("doc_id").alias("component_id"))
         return spread_join(joined.select("key", "root"), least, "root", heavy_keys(joined, "root"), by="key").select("key", "root", "component_id")
