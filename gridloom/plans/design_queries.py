@@ -125,10 +125,10 @@ def dispersion_genes_by_batch(v: Views):
     return qc.dispersion_genes(qc.lognorm(v.counts, 1e4), v.obs, 8, "condition").select("gene_id", "n_batches", r6("score", "score"), "highly_variable")
 
 
-@query("gene_filter_expression", "SELECT gene_id, gene_type AS biotype FROM var WHERE lower(replace(gene_type, '-', '_')) NOT IN ('promo', 'economy') AND (gene_id < 'Brand#40' OR gene_id IN ('Brand#55', 'brand'))")
+@query("gene_filter_expression", "SELECT gene_id, gene_type AS biotype FROM var WHERE lower(replace(gene_type, '-', '_')) NOT IN ('promo', 'large') AND (gene_id < 'Brand#40' OR gene_id IN ('Brand#55', 'brand'))")
 def gene_filter_expression(v: Views):
     """The gene's type under another name, lists, and, or."""
-    entries = ["expr=biotype not_in ['PROMO', 'Economy'];condition_key=sex", "gene_id < 'Brand#40' or gene_id in [\"Brand#55\", 'brand']"]
+    entries = ["expr=biotype not_in ['PROMO', 'Large'];condition_key=sex", "gene_id < 'Brand#40' or gene_id in [\"Brand#55\", 'brand']"]
     return genes.filter_genes(v.var, entries).select("gene_id", "biotype")
 
 
