@@ -47,7 +47,7 @@ from . import textkit as tk
 from .components import connect
 from .hot import heavy_keys, spread_join
 from .scratch import Scratch, small_batches
-from .texts import chosen, keyed, sifted
+from .texts import chosen, keyed, parted, sifted
 
 HEAVY = 1 << 20
 SPREAD = 20_000
@@ -551,7 +551,8 @@ def keep_one(documents: DataFrame, *, size: int = 5, share: tuple[int, int] = (7
     gone, several = judged.where("not kept").drop("kept"), judged.where("kept").drop("kept")
     mark = documents.select("*", F.col(id_col).cast("long").alias("__me"), F.xxhash64(F.col(text_col).cast("string")).alias("__mine"))
     same = F.col("__me").eqNullSafe(F.col("__id")) & (F.col("__mine") == F.col("__hash"))
+    mark, rest = parted(mark, judged.select(F.col("__id").alias("__me")), "__me")  # the others' texts stay where they are
     left = mark.join(gone, same, "left_anti")
     if several.limit(1).count():  # only the rows that repeat a kept one are dealt by id and text
         left = left.join(several, same, "left_anti").unionByName(left.join(several, same, "left_semi").dropDuplicates(["__me", "__mine"]))
-    return left.drop("__me", "__mine")
+    return (left if rest is None else left.unionByName(rest)).drop("__me", "__mine")

@@ -20,13 +20,25 @@ def sifted(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     ``keys`` is read twice: a written table. The sieve that is broadcast has 64 bits a key or more, but at most 2**26, in
     2**20 longs; with so many keys that these would hold most rows back no longer, there is none and all pass.
     """
+    marked = _marked(rows, keys, column)
+    return rows if marked is None else marked.where("_maybe").drop("_maybe")
+
+
+def parted(rows: DataFrame, keys: DataFrame, column: str) -> tuple[DataFrame, DataFrame | None]:
+    """What ``sifted`` gives and all other rows, None where there is no sieve; a null is a value like others."""
+    marked = _marked(rows, keys, column)
+    return (rows, None) if marked is None else tuple(marked.where(f).drop("_maybe") for f in ("_maybe", "not _maybe"))
+
+
+def _marked(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame | None:
     n = keys.count()
     if 2 * n > 1 << MOST_BITS:
-        return rows
+        return None
     bits = min(MOST_BITS, max(LEAST_BITS, (BITS_A_KEY * n).bit_length()))
     word, bit = f"(xxhash64({column}) & {(1 << bits) - 1}) >> 6", f"shiftleft(1L, cast(xxhash64({column}) & 63 as int))"
     sieve = keys.select(F.expr(word).alias("_word"), F.expr(bit).alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
-    return rows.withColumn("_word", F.expr(word)).join(F.broadcast(sieve), "_word").where(f"(_bits & {bit}) != 0").drop("_word", "_bits")
+    met = rows.withColumn("_word", F.expr(word)).join(F.broadcast(sieve), "_word", "left")
+    return met.withColumn("_maybe", F.expr(f"coalesce((_bits & {bit}) != 0, false)")).drop("_word", "_bits")
 
 
 def chosen(rows: DataFrame, keys: DataFrame) -> DataFrame:
